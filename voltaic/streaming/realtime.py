@@ -1,20 +1,82 @@
 """Real-time totals: hourly roll-up (K2) in batch and streaming form, and
-incremental intake of report files (K1)."""
+incremental intake of report files (K1).
+
+The batch and the streaming forms share the parser and the aggregate
+expressions; the stream adds event time, a watermark and a tumbling
+window, so state is bounded and late rows are dropped.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import hour_ending_ts, pct, round_half_up
+from ..functions import pct, round_half_up
+from ..sources.reports import parse_realtime_text
 
+INTERVAL_KEYS = ("date", "hour", "interval")
 
-def hourly_totals(realtime: DataFrame) -> DataFrame:
-    """5-minute totals to hourly mean energy, loss and load, loss percent
-    (of the hour's sums) and the number of intervals."""
-    return realtime.groupBy("date", "hour").agg(
+
+def _measures() -> list[Column]:
+    return [
         round_half_up(F.avg("total_energy"), 2).alias("energy_mw"),
         round_half_up(F.avg("total_loss"), 2).alias("loss_mw"),
         round_half_up(F.avg("total_load"), 2).alias("load_mw"),
         pct(F.sum("total_loss"), F.sum("total_energy")).alias("loss_pct"),
-        F.count(F.lit(1)).alias("intervals"))
+        F.count(F.lit(1)).alias("intervals"),
+    ]
+
+
+def hourly_totals(realtime: DataFrame) -> DataFrame:
+    """5-minute totals to hourly mean energy, loss and load, loss percent
+    (of the hour's sums) and the number of intervals (batch form)."""
+    return realtime.groupBy("date", "hour").agg(*_measures())
+
+
+def interval_start(date: str = "date", hour: str = "hour", interval: str = "interval") -> Column:
+    """Event time of a 5-minute interval: hour-ending ``hour`` starts at
+    ``hour - 1``; interval n (1-12) starts (n - 1) * 5 minutes later."""
+    minutes = (F.col(hour) - 1) * 60 + (F.col(interval) - 1) * 5
+    return (F.col(date).cast("timestamp")
+            + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int")))
+
+
+def realtime_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """K1: every report file that lands in ``folder`` as parsed 5-minute
+    rows (whole-text files, one per task), with event time ``ts``."""
+    reader = spark.readStream.format("text").option("wholetext", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    text = reader.load(folder).select("value", F.col("_metadata.file_path").alias("_published_at"))
+    rows = parse_realtime_text(text)
+    return rows.filter(F.col("date").isNotNull()).withColumn("ts", interval_start())
+
+
+def dedupe_intervals(rows: DataFrame, delay: str = "1 day") -> DataFrame:
+    """K1: drop a repeated interval (same date, hour, interval) seen again
+    within the watermark delay; state older than the watermark is freed."""
+    return (rows.withWatermark("ts", delay)
+            .dropDuplicatesWithinWatermark(list(INTERVAL_KEYS)))
+
+
+def hourly_stream(rows: DataFrame, delay: str = "3 hours") -> DataFrame:
+    """K2: tumbling one-hour windows on event time.  In append mode an hour
+    is emitted once the watermark passes its end; rows later than the
+    watermark are dropped."""
+    w = F.window("ts", "1 hour")
+    agg = rows.withWatermark("ts", delay).groupBy(w.alias("w")).agg(*_measures())
+    start = F.col("w.start")
+    return agg.select(F.to_date(start).alias("date"), (F.hour(start) + 1).alias("hour"),
+                      "energy_mw", "loss_mw", "load_mw", "loss_pct", "intervals")
+
+
+def start_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
+                   fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
+    """Run a stream into a file table with a checkpoint on shared storage;
+    ``availableNow`` processes what has landed and stops."""
+    writer = (df.writeStream.format(fmt).outputMode(mode)
+              .option("checkpointLocation", checkpoint).option("path", path))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
