@@ -1,0 +1,129 @@
+"""Operators: keep-last, pivot, spine, joins, windows, top-k, quality."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from voltaic import config
+from voltaic.operators import quality as Q
+from voltaic.operators.dedupe import keep_last
+from voltaic.operators.joins import attach_actuals, missing_hours, recent, unexpected_values
+from voltaic.operators.pivot import pivot_measure
+from voltaic.operators.spine import date_spine, hour_grid
+from voltaic.operators.topk import last_n_ascending, latest, sample_n
+from voltaic.operators.windows import with_rolling
+
+D = dt.date
+
+
+def test_keep_last_unique_and_idempotent(spark):
+    rows = [(D(2026, 1, 1), 1, 10, 1), (D(2026, 1, 1), 1, 11, 3), (D(2026, 1, 1), 1, 12, 2),
+            (D(2026, 1, 1), 2, 20, 1)]
+    df = spark.createDataFrame(rows, "date date, hour int, v int, seq long")
+    once = keep_last(df, ["date", "hour"], ["seq"])
+    assert sorted((r.hour, r.v) for r in once.collect()) == [(1, 11), (2, 20)]
+    twice = keep_last(once, ["date", "hour"], ["seq"])
+    assert sorted(once.collect()) == sorted(twice.collect())
+    # multi-column order (struct path) and mixed directions (window path)
+    df2 = df.withColumn("b", F.lit(0))
+    assert sorted((r.hour, r.v) for r in keep_last(df2, ["date", "hour"], ["b", "seq"]).collect()) \
+        == [(1, 11), (2, 20)]
+    mixed = keep_last(df2, ["date", "hour"], [("b", True), ("seq", False)])
+    assert sorted((r.hour, r.v) for r in mixed.collect()) == [(1, 10), (2, 20)]
+
+
+def test_pivot_latest_value_and_missing(spark):
+    rows = [(1, "Nuclear", 5.0, 1), (1, "Nuclear", 7.0, 2), (1, "Gas", None, 3),
+            (2, "Hydro", 1.0, 1)]
+    df = spark.createDataFrame(rows, "hour int, fuel string, v double, seq long")
+    out = {r.hour: r for r in pivot_measure(df, ["hour"], "fuel", "v", ["Nuclear", "Gas", "Hydro"],
+                                            order=["seq"]).collect()}
+    assert (out[1].Nuclear, out[1].Gas, out[1].Hydro) == (7.0, None, None)
+    assert out[2].Hydro == 1.0
+
+
+def test_pivot_is_one_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 5).alias("k"),
+                                 F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("c"),
+                                 F.col("id").cast("double").alias("v"))
+    plan = pivot_measure(df, ["k"], "c", "v", ["A", "B"])._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_spine_and_grid(spark):
+    df = spark.createDataFrame([(D(2026, 2, 27),), (D(2026, 3, 1),)], "date date")
+    days = [r.date for r in date_spine(df).collect()]
+    assert days == [D(2026, 2, 27), D(2026, 2, 28), D(2026, 3, 1)]
+    assert hour_grid(date_spine(df)).count() == 72
+    empty = spark.createDataFrame([], "date date")
+    assert date_spine(empty).count() == 0
+
+
+def test_missing_hours_day_without_hour_7(spark):
+    rows = [(D(2026, 1, 1), h) for h in range(1, 25)] + \
+           [(D(2026, 1, 2), h) for h in range(1, 25) if h != 7]
+    df = spark.createDataFrame(rows, "date date, hour int")
+    assert [(r.date, r.hour) for r in missing_hours(df).collect()] == [(D(2026, 1, 2), 7)]
+
+
+def test_recent_spans_days_plus_one(spark):
+    df = spark.createDataFrame([(D(2026, 1, d),) for d in range(1, 21)], "date date")
+    got = sorted(r.date for r in recent(df, 7).collect())
+    assert got[0] == D(2026, 1, 13) and len(got) == 8
+
+
+def test_attach_actuals(spark):
+    sched = spark.createDataFrame([(D(2026, 1, 1), 1, "Z", 1.0, 0.0)],
+                                  "date date, hour int, intertie_zone string, i double, e double")
+    act = spark.createDataFrame([(D(2026, 1, 1), 1, "Z", 0, 5.0), (D(2026, 1, 1), 1, "Z", 1, None),
+                                 (D(2026, 1, 1), 9, "Z", 0, 3.0)],
+                                "date date, hour int, intertie_zone string, pos int, flow double")
+    out = attach_actuals(sched, act).collect()
+    assert len(out) == 1 and out[0].actual_flow_mw is None
+
+
+def test_rolling_range_frame(spark):
+    rows = [(D(2026, 1, 1), 1.0), (D(2026, 1, 2), 3.0), (D(2026, 1, 9), 5.0)]
+    df = with_rolling(spark.createDataFrame(rows, "date date, v double"), "v", {"r7": 7})
+    got = [r.r7 for r in df.orderBy("date").collect()]
+    assert got == [1.0, 2.0, 5.0]       # the gap shortens the frame
+
+
+def test_topk_and_sample(spark):
+    df = spark.createDataFrame([(D(2026, 1, d), h) for d in range(1, 4) for h in (1, 2)],
+                               "date date, hour int")
+    assert [(r.date.day, r.hour) for r in latest(df, 1).collect()] == [(3, 2)]
+    assert [r.date.day for r in last_n_ascending(df.select("date").distinct(), 2).collect()] \
+        == [2, 3]
+    assert sample_n(df, 4).count() == 4 and sample_n(df, 100).count() == 6
+
+
+def test_quality_fixture(spark):
+    """FIXTURES part 3 item 6."""
+    rows = [(D(2026, 1, 1), 1, -1), (D(2026, 1, 1), 2, 35001), (D(2026, 1, 1), 0, 100),
+            (D(2026, 1, 1), 25, 100), (D(2026, 1, 2), 3, 1), (D(2026, 1, 2), 3, 2),
+            (D(2026, 1, 2), 3, 3)]
+    df = spark.createDataFrame(rows, "date date, hour int, region_demand int")
+    r = Q.quality_demand(df).collect()[0]
+    assert (r.rows, r.negative_rows, r.extreme_rows, r.invalid_hour_rows, r.duplicate_rows,
+            r.passed) == (7, 1, 1, 2, 3, False)
+    gen = spark.createDataFrame([("Nuclear", 1.0), ("Coal", 2.0), ("Gas", -1.0)],
+                                "fuel_type string, output_mw double")
+    g = Q.quality_generation(gen).collect()[0]
+    assert (g.negative_rows, g.unexpected_fuels, g.passed) == (1, 1, False)
+    assert [r.fuel_type for r in unexpected_values(gen, "fuel_type",
+                                                   config.EXPECTED_FUELS).collect()] == ["Coal"]
+    prices = spark.createDataFrame([(-101.0,), (10001.0,), (5.0,)], "energy_price double")
+    p = Q.quality_prices(prices, ["energy_price"]).collect()[0]
+    assert (p.rows_below_min, p.rows_above_max, p.passed) == (1, 1, False)
+
+
+def test_contract(spark):
+    import pytest
+    df = spark.createDataFrame([(1,)], "a int")
+    assert Q.require_contract(df, ["a"]) is df
+    with pytest.raises(Q.ContractError):
+        Q.require_contract(df, ["a", "b"])
+    with pytest.raises(Q.ContractError):
+        Q.require_contract(df.filter("a > 5"), ["a"])

@@ -60,12 +60,15 @@ def dedupe_intervals(rows: DataFrame, delay: str = "1 day") -> DataFrame:
             .dropDuplicatesWithinWatermark(list(INTERVAL_KEYS)))
 
 
-def hourly_stream(rows: DataFrame, delay: str = "3 hours") -> DataFrame:
+def hourly_stream(rows: DataFrame, delay: str | None = "3 hours") -> DataFrame:
     """K2: tumbling one-hour windows on event time.  In append mode an hour
     is emitted once the watermark passes its end; rows later than the
-    watermark are dropped."""
+    watermark are dropped.  ``delay=None`` keeps the watermark already set
+    upstream (e.g. by ``dedupe_intervals``); a stream has one watermark."""
     w = F.window("ts", "1 hour")
-    agg = rows.withWatermark("ts", delay).groupBy(w.alias("w")).agg(*_measures())
+    if delay is not None:
+        rows = rows.withWatermark("ts", delay)
+    agg = rows.groupBy(w.alias("w")).agg(*_measures())
     start = F.col("w.start")
     return agg.select(F.to_date(start).alias("date"), (F.hour(start) + 1).alias("hour"),
                       "energy_mw", "loss_mw", "load_mw", "loss_pct", "intervals")
