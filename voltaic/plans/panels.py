@@ -145,3 +145,35 @@ def run_sql(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str) -> D
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return spark.sql(sql)
+
+
+class ReportCache:
+    """Results of report SQL kept for ``ttl`` seconds per SQL text.
+
+    The cached rows live on the executors (``DataFrame.cache``); the
+    driver keeps only the handle and its age.  An expired entry is
+    unpersisted and recomputed on the next request.
+    """
+
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame],
+                 ttl: float = 300.0, clock=None):
+        import time
+        self.spark, self.tables, self.ttl = spark, dict(tables), ttl
+        self.clock = clock or time.monotonic
+        self._entries: dict[str, tuple[float, DataFrame]] = {}
+
+    def query(self, sql: str) -> DataFrame:
+        now = self.clock()
+        hit = self._entries.get(sql)
+        if hit and now - hit[0] < self.ttl:
+            return hit[1]
+        if hit:
+            hit[1].unpersist()
+        df = run_sql(self.spark, self.tables, sql).cache()
+        self._entries[sql] = (now, df)
+        return df
+
+    def clear(self) -> None:
+        for _, df in self._entries.values():
+            df.unpersist()
+        self._entries.clear()
