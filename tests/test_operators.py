@@ -149,3 +149,15 @@ def test_bucketed_rolling_equals_single_window(spark):
         assert (a.r7 is None) == (b.r7 is None) and (a.r30 is None) == (b.r30 is None)
         if a.r7 is not None:
             assert abs(a.r7 - b.r7) < 1e-12 and abs(a.r30 - b.r30) < 1e-12
+
+
+def test_keep_last_window_fallback_for_text_order(spark):
+    rows = [(1, "b", 1, 10), (1, "a", 2, 11), (1, "a", 1, 12)]
+    df = spark.createDataFrame(rows, "k int, f string, pos int, v int")
+    # newest number first, then the text ascending: a string against the
+    # first direction cannot be negated, so a window picks the row
+    out = keep_last(df, ["k"], [("pos", True), ("f", False)]).collect()
+    assert [(r.f, r.pos, r.v) for r in out] == [("a", 2, 11)]
+    plan = keep_last(df, ["k"], [("pos", True), ("f", False)])._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Window" in plan

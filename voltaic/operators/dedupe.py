@@ -24,31 +24,48 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: OrderSpec,
     aggregate with ``max_by``/``min_by`` on a struct: Spark combines
     map-side before the shuffle, so a key that holds a third of all rows
     costs one small partial row per task, not one huge sorted group.
-    Mixed directions fall back to ``row_number`` over a window.
+    Mixed directions negate the numeric columns that run the other way;
+    only a non-numeric column against the first direction falls back to
+    ``row_number`` over a window.
     """
     spec = _normalise(order, descending)
     keys = list(keys)
     order_cols = [c for c, _ in spec]
     rest = [c for c in df.columns if c not in keys]
-    directions = {d for _, d in spec}
-    if len(directions) == 1 and len(order_cols) == 1:
+    types = dict(df.dtypes)
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    first = spec[0][1]
+    # Mixed directions: a numeric column that runs against the first one is
+    # negated, so the whole order runs one way and the aggregate applies.
+    if len({d for _, d in spec}) > 1 and all(
+            d == first or types[c] in numeric or types[c].startswith("decimal")
+            for c, d in spec):
+        ords = [F.col(c) if d == first else -F.col(c) for c, d in spec]
+        return _by_aggregate(df, keys, rest, ords, first, order_cols, drop_order)
+    if len({d for _, d in spec}) == 1:
+        return _by_aggregate(df, keys, rest, [F.col(c) for c in order_cols], spec[0][1],
+                             order_cols, drop_order)
+    w = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in spec])
+    out = (df.withColumn("_rn", F.row_number().over(w))
+           .filter(F.col("_rn") == 1).drop("_rn"))
+    if drop_order:
+        out = out.drop(*[c for c in order_cols if c not in keys])
+    return out
+
+
+def _by_aggregate(df: DataFrame, keys: list[str], rest: list[str], ords: list,
+                  desc: bool, order_cols: list[str], drop_order: bool) -> DataFrame:
+    pick = F.max_by if desc else F.min_by
+    if len(ords) == 1:
         # A single order column is a total order by contract, so each
         # column's max_by picks the same row; primitive buffers keep this
         # a hash aggregate.
-        pick = F.max_by if directions.pop() else F.min_by
-        o = F.col(order_cols[0])
-        out = df.groupBy(*keys).agg(*[pick(F.col(c), o).alias(c) for c in rest])
-    elif len(directions) == 1:
-        pick = F.max_by if directions.pop() else F.min_by
-        packed = (df.groupBy(*keys)
-                  .agg(pick(F.struct(*[F.col(c) for c in rest]),
-                            F.struct(*[F.col(c) for c in order_cols])).alias("_row")))
-        out = packed.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+        out = df.groupBy(*keys).agg(*[pick(F.col(c), ords[0]).alias(c) for c in rest])
     else:
-        w = Window.partitionBy(*keys).orderBy(
-            *[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in spec])
-        out = (df.withColumn("_rn", F.row_number().over(w))
-               .filter(F.col("_rn") == 1).drop("_rn"))
+        packed = df.groupBy(*keys).agg(
+            pick(F.struct(*[F.col(c) for c in rest]), F.struct(*ords)).alias("_row"))
+        out = packed.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
     if drop_order:
         out = out.drop(*[c for c in order_cols if c not in keys])
     return out
