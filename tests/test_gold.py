@@ -51,3 +51,14 @@ def test_report_cache_ttl(spark):
     b = cache.query("SELECT count(*) AS n FROM t")
     assert b is not a and b.collect()[0].n == 5
     cache.clear()
+
+
+def test_named_views_registered(spark):
+    from voltaic.plans import serving
+    from voltaic.plans import silver as S
+    from voltaic.sources import bindings as B
+    names = serving.register_views(catalog.snapshot(spark, SF001),
+                                   S.dayahead(B.dayahead_feed(spark, SF001)))
+    assert set(names) == set(serving.VIEW_NAMES)
+    assert spark.sql("SELECT count(*) AS n FROM v_latest_grid_status").collect()[0].n == 1
+    assert spark.table("v_carbon_by_hour").count() <= 24

@@ -61,3 +61,24 @@ def test_run_layers_end_to_end(spark):
     assert hour1.nuclear_mw == 9602.0 and hour1.energy_price == 25.5
     assert hour1.carbon_intensity_gco2_kwh is not None
     assert spark.read.parquet(f"{root}/lake/gold/mart_daily_summary").count() == 1
+
+
+def test_lineage_and_raw_csv(spark):
+    root = tempfile.mkdtemp(prefix="voltaic-raw-")
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    lake.write_raw(df, f"{root}/raw")
+    back = spark.read.csv(f"{root}/raw", header=True)
+    tagged = lake.with_lineage(back)
+    row = tagged.collect()[0]
+    assert row._source.startswith("file:") and row._loaded_at is not None
+    assert lake.drop_lineage(lake.with_lineage(df, "api")).columns == ["id", "v"]
+
+
+def test_dynamic_partition_overwrite(spark):
+    root = tempfile.mkdtemp(prefix="voltaic-dyn-")
+    first = spark.createDataFrame([(2025, 1), (2026, 2)], "year int, v int")
+    lake.write_table(first, f"{root}/t", partition_by=["year"])
+    lake.write_table(spark.createDataFrame([(2026, 3)], "year int, v int"), f"{root}/t",
+                     partition_by=["year"], dynamic=True)
+    got = sorted((r.year, r.v) for r in lake.read_table(spark, f"{root}/t").collect())
+    assert got == [(2025, 1), (2026, 3)]

@@ -615,3 +615,22 @@ def realtime_hourly(spark, sf_dir):
     """K2 (batch form): 5-minute totals to hourly means."""
     from ..streaming.realtime import hourly_totals
     return hourly_totals(S.realtime(B.realtime_feed(spark, sf_dir)))
+
+
+@register("view_sql", f"""
+SELECT v.hour, v.avg_carbon_intensity, p.n_spikes
+FROM (SELECT hour, {O.R('avg(carbon_intensity_gco2_kwh)')} AS avg_carbon_intensity
+      FROM snapshot WHERE carbon_intensity_gco2_kwh IS NOT NULL GROUP BY hour) v
+JOIN (SELECT hour, count(*) FILTER (WHERE energy_price > 100) AS n_spikes
+      FROM snapshot GROUP BY hour) p ON v.hour = p.hour""")
+def view_sql(spark, sf_dir):
+    """SQL over the registered serving views (carbon by hour beside the
+    number of spike hours of the price view)."""
+    from . import serving
+    serving.register_views(snapshot(spark, sf_dir),
+                           S.dayahead(B.dayahead_feed(spark, sf_dir)))
+    return spark.sql("""
+        SELECT v.hour, v.avg_carbon_intensity, p.n_spikes
+        FROM v_carbon_by_hour v
+        JOIN (SELECT hour, count_if(price_regime = 'Spike') AS n_spikes
+              FROM v_price_analysis GROUP BY hour) p ON v.hour = p.hour""")

@@ -165,3 +165,27 @@ def latest_grid_status(snapshot: DataFrame) -> DataFrame:
     The top-1 side is one row by construction, so it is broadcast."""
     top = latest(snapshot.select(*KEYS), 1)
     return snapshot.join(F.broadcast(top), on=KEYS, how="left_semi")
+
+
+VIEW_NAMES = ("v_latest_grid_status", "v_daily_summary", "v_hourly_generation_mix",
+              "v_price_analysis", "v_carbon_by_hour", "v_monthly_renewables")
+
+
+def named_views(snapshot: DataFrame, dayahead: DataFrame) -> dict[str, DataFrame]:
+    """The six serving views as lazy DataFrames over the snapshot."""
+    return {
+        "v_latest_grid_status": latest_grid_status(snapshot),
+        "v_daily_summary": daily_summary(snapshot),
+        "v_hourly_generation_mix": hourly_generation_mix(snapshot),
+        "v_price_analysis": price_analysis(snapshot, dayahead),
+        "v_carbon_by_hour": carbon_by_hour(snapshot),
+        "v_monthly_renewables": monthly_renewables(snapshot),
+    }
+
+
+def register_views(snapshot: DataFrame, dayahead: DataFrame) -> list[str]:
+    """Register the six views as temporary views for SQL; returns names."""
+    views = named_views(snapshot, dayahead)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
