@@ -82,3 +82,18 @@ def test_dynamic_partition_overwrite(spark):
                      partition_by=["year"], dynamic=True)
     got = sorted((r.year, r.v) for r in lake.read_table(spark, f"{root}/t").collect())
     assert got == [(2025, 1), (2026, 3)]
+
+
+def test_run_layers_isolates_a_failed_source(spark):
+    root = tempfile.mkdtemp(prefix="voltaic-run2-")
+    landed = {
+        "demand": [write(f"{root}/raw/demand.csv", DEMAND)],
+        # a price report without the price column breaks its contract
+        "prices": [write(f"{root}/raw/prices.csv", "Date,Hour,Other\n2026-01-01,1,3\n")],
+    }
+    summary = {(r.layer, r.table_name): r for r in
+               run_layers(spark, LayerConfig(f"{root}/lake", landed)).collect()}
+    assert "ContractError" in summary[("bronze", "prices")].error
+    assert summary[("gold", "fct_hourly_grid_snapshot")].rows == 2
+    snap = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
+    assert snap.filter("energy_price IS NOT NULL").count() == 0

@@ -13,6 +13,7 @@ from typing import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.quality import require_contract
 from ..sources import lake, reports
 from . import gold as G
 from . import silver as S
@@ -26,6 +27,15 @@ READERS: dict[str, Callable[[SparkSession, list[str]], DataFrame]] = {
     "weather": reports.read_weather_json,
 }
 
+# The columns each report must carry; an empty report or a missing
+# column fails that source only.  (Upstream checks these four sources.)
+CONTRACTS = {
+    "demand": ("date", "hour", "market_demand", "region_demand"),
+    "generation": ("date", "hour", "fuel_type", "output_mw"),
+    "prices": ("date", "hour", "energy_price"),
+    "weather": ("date", "hour", "temperature_c"),
+}
+
 # How each silver table is laid out on write: partitions for pruning by
 # period, sort within files for statistics on the hour key.
 PARTITIONS = {"demand": ("year", "month"), "prices": ("year", "month"),
@@ -60,7 +70,10 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
             present = reports.existing_paths(spark, paths)
             if not present:
                 return None
-            return lake.write_table(reader(spark, present), f"{root}/bronze/{name}", cfg.fmt)
+            df = reader(spark, present)
+            if name in CONTRACTS:
+                require_contract(df, CONTRACTS[name], name)
+            return lake.write_table(df, f"{root}/bronze/{name}", cfg.fmt)
         _try(results, "bronze", name, bronze)
 
     silver_tables: dict[str, DataFrame] = {}
