@@ -39,7 +39,8 @@ CONTRACTS = {
 # How each silver table is laid out on write: partitions for pruning by
 # period, sort within files for statistics on the hour key.
 PARTITIONS = {"demand": ("year", "month"), "prices": ("year", "month"),
-              "weather": ("year", "month"), "intertie": ("year", "month")}
+              "weather": ("year", "month"), "intertie": ("year", "month"),
+              "generation": ("year", "month")}
 
 
 @dataclass
