@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from voltaic import config
 from voltaic.functions import (classify_by, hour_ending_ts, pct, round_half_up,

@@ -1,6 +1,5 @@
 """Lake I/O and the layer runner on hand-made reports."""
 
-import os
 import tempfile
 
 from pyspark.sql import functions as F

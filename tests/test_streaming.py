@@ -1,7 +1,6 @@
 """K1 and K2 with Trigger.AvailableNow on files dropped into a folder
 (FIXTURES.md part 3, item 7)."""
 
-import os
 import tempfile
 
 from pyspark.sql import functions as F
