@@ -84,6 +84,14 @@ CARBON_SAMPLE = 800
 # --- end of fixed values ----------------------------------------------------
 
 KEYS = ("date", "hour")
+# Optional series columns: when a frame carries one (many regions at once),
+# it leads every key, grouping and window partition.
+SERIES = ("region",)
+
+
+def series_of(df) -> list[str]:
+    """The series columns present in ``df`` (empty for one region)."""
+    return [c for c in SERIES if c in df.columns]
 
 
 def fuel_column(fuel: str, suffix: str = "mw") -> str:

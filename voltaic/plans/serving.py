@@ -29,7 +29,7 @@ def carbon_by_hour(snapshot: DataFrame) -> DataFrame:
     """Average, minimum and maximum intensity and the sample count by hour
     of day; hours without intensity are left out."""
     c = F.col("carbon_intensity_gco2_kwh")
-    return (snapshot.filter(c.isNotNull()).groupBy("hour")
+    return (snapshot.filter(c.isNotNull()).groupBy(*config.series_of(snapshot), "hour")
             .agg(round_half_up(F.avg(c), 2).alias("avg_carbon_intensity"),
                  round_half_up(F.min(c), 2).alias("min_carbon_intensity"),
                  round_half_up(F.max(c), 2).alias("max_carbon_intensity"),
@@ -40,7 +40,7 @@ def daily_summary(snapshot: DataFrame) -> DataFrame:
     """Daily demand, generation, renewable percent, price, carbon and
     temperature, rounded to 1 or 2 digits."""
     d = F.col("region_demand")
-    return snapshot.groupBy("date").agg(
+    return snapshot.groupBy(*config.series_of(snapshot), "date").agg(
         round_half_up(F.avg(d), 1).alias("avg_demand_mw"),
         round_half_up(F.max(d), 1).alias("peak_demand_mw"),
         round_half_up(F.min(d), 1).alias("min_demand_mw"),
@@ -54,7 +54,8 @@ def daily_summary(snapshot: DataFrame) -> DataFrame:
 
 def monthly_renewables(snapshot: DataFrame) -> DataFrame:
     """Monthly mean shares (percent) of renewables and of each fuel."""
-    return (snapshot.groupBy(F.year("date").alias("year"), F.month("date").alias("month"))
+    return (snapshot.groupBy(*config.series_of(snapshot), F.year("date").alias("year"),
+                             F.month("date").alias("month"))
             .agg(round_half_up(F.avg("renewable_frac") * 100, 2).alias("avg_pct_renewable"),
                  *[round_half_up(F.avg(_frac(f)) * 100, 2).alias(f"avg_pct_{f.lower()}")
                    for f in ("Wind", "Solar", "Hydro", "Nuclear", "Gas")]))
@@ -66,7 +67,8 @@ MIX_FUELS = ("Nuclear", "Gas", "Hydro", "Wind", "Solar", "Biofuel")
 def hourly_generation_mix(snapshot: DataFrame) -> DataFrame:
     """MW per fuel and percent shares per hour."""
     return snapshot.select(
-        *KEYS, *[config.fuel_column(f) for f in MIX_FUELS], "total_generation_mw",
+        *config.series_of(snapshot), *KEYS, *[config.fuel_column(f) for f in MIX_FUELS],
+        "total_generation_mw",
         *[F.col(config.fuel_column(f, "pct")).alias(f"pct_{f.lower()}")
           for f in ("Nuclear", "Gas", "Hydro", "Wind", "Solar")],
         round_half_up(F.col("renewable_frac") * 100, 2).alias("pct_renewable"))
@@ -74,7 +76,8 @@ def hourly_generation_mix(snapshot: DataFrame) -> DataFrame:
 
 def with_dayahead(snapshot: DataFrame, dayahead: DataFrame) -> DataFrame:
     """Snapshot with the day-ahead price joined (left, on the hour key)."""
-    return snapshot.join(dayahead.select(*KEYS, "da_price"), on=KEYS, how="left")
+    on = [c for c in config.series_of(snapshot) if c in dayahead.columns] + KEYS
+    return snapshot.join(dayahead.select(*on, "da_price"), on=on, how="left")
 
 
 def price_analysis(snapshot: DataFrame, dayahead: DataFrame) -> DataFrame:
@@ -82,7 +85,7 @@ def price_analysis(snapshot: DataFrame, dayahead: DataFrame) -> DataFrame:
     Negative, else Normal; an unknown price is Normal)."""
     s = with_dayahead(snapshot, dayahead)
     return s.select(
-        *KEYS, round_half_up(F.col("energy_price"), 2).alias("rt_price"),
+        *config.series_of(s), *KEYS, round_half_up(F.col("energy_price"), 2).alias("rt_price"),
         round_half_up(F.col("da_price"), 2).alias("da_price"),
         round_half_up(F.col("da_price") - F.col("energy_price"), 2).alias("price_spread"),
         "is_weekday", "is_peak_hour", "season",
@@ -96,7 +99,7 @@ def price_spreads(snapshot: DataFrame, dayahead: DataFrame) -> DataFrame:
         F.col("energy_price").isNotNull() & F.col("da_price").isNotNull())
     spread = F.col("da_price") - F.col("energy_price")
     return s.select(
-        *KEYS, round_half_up(F.col("energy_price"), 2).alias("rt_price"),
+        *config.series_of(s), *KEYS, round_half_up(F.col("energy_price"), 2).alias("rt_price"),
         round_half_up(F.col("da_price"), 2).alias("da_price"),
         round_half_up(spread, 2).alias("spread"),
         round_half_up(F.abs(spread), 2).alias("abs_spread"),
@@ -110,7 +113,7 @@ def carbon_contribution(snapshot: DataFrame) -> DataFrame:
     """Each fuel's part of the intensity: fuel * factor / total."""
     total = F.col("total_generation_mw")
     return snapshot.filter(total.isNotNull()).select(
-        *KEYS, "carbon_intensity_gco2_kwh",
+        *config.series_of(snapshot), *KEYS, "carbon_intensity_gco2_kwh",
         *[round_half_up(safe_div(F.col(config.fuel_column(f)) *
                                  F.lit(config.CARBON_FACTORS[f]), total), 2)
           .alias(f"{f.lower()}_contribution") for f in CONTRIBUTION_FUELS])
@@ -122,7 +125,7 @@ def daily_generation_mix(snapshot: DataFrame) -> DataFrame:
     total = F.sum("total_generation_mw")
     renewable = F.sum(row_sum(config.fuel_column(f) for f in config.RENEWABLE_FUELS))
     d = F.col("region_demand")
-    return snapshot.groupBy("date").agg(
+    return snapshot.groupBy(*config.series_of(snapshot), "date").agg(
         *[round_half_up(F.sum(config.fuel_column(f)), 1).alias(f"{f.lower()}_mwh")
           for f in MIX_FUELS],
         round_half_up(total, 1).alias("total_mwh"),
@@ -137,10 +140,11 @@ def daily_generation_mix(snapshot: DataFrame) -> DataFrame:
         round_half_up(F.avg("carbon_intensity_gco2_kwh"), 2).alias("avg_carbon_intensity"))
 
 
-def renewable_penetration(snapshot: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+def renewable_penetration(snapshot: DataFrame, series: Sequence[str] | None = None) -> DataFrame:
     """Daily renewable energy and share with 7- and 30-day rolling means of
     the share (calendar ranges).  The window runs on the daily rows, one
     per day and series."""
+    series = list(series) if series is not None else config.series_of(snapshot)
     renewable = row_sum(config.fuel_column(f) for f in config.RENEWABLE_FUELS)
     daily = (snapshot.groupBy(*series, "date")
              .agg(F.sum(renewable).alias("_ren"), F.sum("total_generation_mw").alias("_tot"),

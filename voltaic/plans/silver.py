@@ -43,7 +43,8 @@ def _drop_order(df: DataFrame) -> DataFrame:
     return df.drop(*ORDER_COLUMNS)
 
 
-def _dedupe(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def _dedupe(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    keys = list(keys) if keys is not None else config.series_of(df) + KEYS
     order = publication_order(df)
     if not order:
         return df.dropDuplicates(list(keys))
@@ -57,7 +58,8 @@ def demand(bronze: DataFrame) -> DataFrame:
                           "region_demand": "int"})
     df = _dedupe(df.dropna(subset=["date", "hour", "region_demand"]))
     return df.select(
-        "date", "hour", "market_demand", "region_demand", *time_feature_columns(),
+        *config.series_of(df), "date", "hour", "market_demand", "region_demand",
+        *time_feature_columns(),
         classify_by("region_demand", config.DEMAND_CLASSES).alias("demand_category"),
         (F.col("market_demand") - F.col("region_demand")).alias("export_demand"))
 
@@ -78,11 +80,12 @@ def generation_wide(bronze: DataFrame) -> DataFrame:
                           "output_mw": "double"})
     df = df.dropna(subset=["date", "hour", "fuel_type"])
     order = publication_order(df)
-    wide = pivot_measure(df, KEYS, "fuel_type", "output_mw", config.FUELS,
+    keys = config.series_of(df) + KEYS
+    wide = pivot_measure(df, keys, "fuel_type", "output_mw", config.FUELS,
                          order=order or None, rename=config.fuel_column)
     kept = [F.when(F.col(c) >= 0, F.col(c)) for c in MW_COLUMNS]
     return (wide.filter(F.coalesce(*kept).isNotNull())
-            .select(*KEYS, *[F.coalesce(k, F.lit(0.0)).alias(c)
+            .select(*keys, *[F.coalesce(k, F.lit(0.0)).alias(c)
                              for k, c in zip(kept, MW_COLUMNS)]))
 
 
