@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe
+from voltaic.llm import bpe, decontaminate, simhash
 from voltaic.llm.common import read
 
 
@@ -23,8 +23,19 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark passage that occurs in it."""
+    return decontaminate.find_passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_benchmark_passages": op9_benchmark_passages,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}
