@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe, decontaminate, simhash
+from voltaic.llm import bpe, decontaminate, linechunks, quality, simhash
 from voltaic.llm.common import read
 
 
@@ -19,6 +19,14 @@ def encode_documents(docs: DataFrame) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, byte_vocabulary()))
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linechunks.clean(read(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"))
 
@@ -33,9 +41,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op5_line_chunks": op5_line_chunks,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_benchmark_passages": op9_benchmark_passages,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_line_chunks": linechunks.ORACLE_SQL,
+}
