@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe, decontaminate, linechunks, quality, simhash
+from voltaic.llm import bpe, decontaminate, langid, linechunks, outliers, quality, simhash
 from voltaic.llm.common import read
 
 
@@ -23,6 +23,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(read(spark, sf_dir, "documents"))
+
+
+def op3_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.learn_and_identify(read(spark, sf_dir, "documents"))
+
+
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linechunks.clean(read(spark, sf_dir, "documents"))
 
@@ -42,6 +50,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_robust_outliers": op2_robust_outliers,
+    "op3_byte_cnn": op3_byte_cnn,
     "op5_line_chunks": op5_line_chunks,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_benchmark_passages": op9_benchmark_passages,
