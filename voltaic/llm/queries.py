@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe, decontaminate, langid, linechunks, outliers, quality, simhash
+from voltaic.llm import bpe, chat, decontaminate, langid, linechunks, outliers, quality, simhash
 from voltaic.llm.common import read
 
 
@@ -31,6 +31,11 @@ def op3_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.learn_and_identify(read(spark, sf_dir, "documents"))
 
 
+def op4_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = chat.events_of(chat.with_probe(read(spark, sf_dir, "conversations")))
+    return chat.read_back(chat.format_log(log))
+
+
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linechunks.clean(read(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_robust_outliers": op2_robust_outliers,
     "op3_byte_cnn": op3_byte_cnn,
+    "op4_event_chat": op4_event_chat,
     "op5_line_chunks": op5_line_chunks,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_benchmark_passages": op9_benchmark_passages,
@@ -59,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_event_chat": chat.ORACLE_SQL,
     "op5_line_chunks": linechunks.ORACLE_SQL,
 }
