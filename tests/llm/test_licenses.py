@@ -1,0 +1,86 @@
+import random
+
+import pytest
+
+from voltaic.llm import licenses as L
+from voltaic.llm.common import read
+
+SF = "/root/testdata/sf0.01"
+INDEX = L.Index(L.TEMPLATES)
+
+
+def words(text):
+    return [w.lower() for w in L._WORD.findall(text)]
+
+
+def plain_edits(own, text):
+    """Least word edits of ``own`` to any stretch of ``text``, without a band."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(own, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("name", L.TEMPLATES)
+def test_whole_templates_are_found(name):
+    text = "Some words — before.\n" + L.TEMPLATES[name].upper() + "\nand áfter"
+    found = {INDEX.names[m.template]: m for m in INDEX.scan(text)}
+    assert found[name].coverage == 1
+    assert words(text[found[name].start : found[name].end]) == words(L.TEMPLATES[name])
+
+
+def test_edited_templates():
+    rng = random.Random(2)
+    for k, name in enumerate(INDEX.names):
+        own = words(L.TEMPLATES[name])
+        if len(own) < 20:
+            continue
+        for _ in range(5):
+            text = list(own)
+            for _ in range(len(own) // 10):
+                i = rng.randrange(len(text))
+                text[i : i + rng.choice([0, 1])] = rng.choice([[], ["noise"], ["more", "noise"]])
+            text = ["lead"] * 7 + text + ["tail"] * 5
+            best = max((m for m in INDEX.scan(" ".join(text)) if m.template == k), key=lambda m: m.matched, default=None)
+            edits = plain_edits(own, text)
+            assert best is not None and best.matched >= len(own) - edits
+
+
+def test_no_match_and_edges():
+    for t in (None, "", "license", "the of and to", "x " * 1000):
+        assert INDEX.scan(t) == []
+    assert L.Index({}).scan("Released under the MIT License.") == []
+    assert L.Index({"empty": ""}).scan("anything at all here") == []
+
+
+def test_pieces(monkeypatch):
+    text = ("filler " * 37 + L.TEMPLATES["MIT"] + " İİ " + L.TEMPLATES["MIT notice"] + " ") * 5
+    whole = INDEX.scan(text)
+    assert sum(INDEX.names[m.template] == "MIT" for m in whole) == 5
+    monkeypatch.setattr(L, "PIECE", 50)
+    assert INDEX.scan(text) == whole
+
+
+def test_frame_equals_plain_search(spark):
+    docs = read(spark, SF, "documents")
+    got = L.scan(docs).toPandas()
+    exact = {(r.doc_id, n) for r in docs.select("doc_id", "text").collect() for n, t in L.TEMPLATES.items() if t in r.text}
+    assert exact and exact <= set(zip(got.doc_id, got.license))
+    for r in docs.collect():
+        for m in got[got.doc_id == r.doc_id].itertuples():
+            own, span = words(L.TEMPLATES[m.license]), words(r.text[m.start : m.end])
+            assert len(own) - plain_edits(own, span) >= 0 and m.matched_words <= min(len(own), len(span))
+            assert m.coverage >= L.MIN_COVERAGE
+    clean = docs.where("not text rlike '(?i)licen[sc]e'").select("doc_id").toPandas()
+    assert not set(clean.doc_id) & set(got.doc_id)
+
+
+def test_frame_edges(spark):
+    rows = [(None, "Released under the MIT License.", "a"), (1, None, "b"), (1, "Released under the MIT License.", "c"), (1, "Released under the MIT License.", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    assert sorted((r.doc_id, r.license, r.start, r.end) for r in L.scan(docs).where("doc_id = 1").collect()) == [(1, "MIT notice", 0, 30)] * 2
+    assert L.scan(docs).count() == 3
+    assert L.scan(docs.limit(0)).count() == 0

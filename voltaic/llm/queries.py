@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe, chat, decontaminate, langid, linechunks, outliers, quality, simhash
+from voltaic.llm import bpe, chat, decontaminate, langid, licenses, linechunks, outliers, quality, simhash
 from voltaic.llm.common import read
 
 
@@ -44,6 +44,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and license passage in it."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark passage that occurs in it."""
     return decontaminate.find_passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_event_chat": op4_event_chat,
     "op5_line_chunks": op5_line_chunks,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_license_scan": op8_license_scan,
     "op9_benchmark_passages": op9_benchmark_passages,
     "op10_simhash": op10_simhash,
 }
