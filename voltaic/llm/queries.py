@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe, chat, decontaminate, langid, licenses, linechunks, outliers, quality, simhash
+from voltaic.llm import bpe, chat, decontaminate, extract, langid, licenses, linechunks, outliers, quality, simhash
 from voltaic.llm.common import read
 
 
@@ -15,6 +15,10 @@ def byte_vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_crf_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.learn_and_extract(read(spark, sf_dir, "pages"))
+
+
 def encode_documents(docs: DataFrame) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, byte_vocabulary()))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_cnn": op3_byte_cnn,
     "op4_event_chat": op4_event_chat,
     "op5_line_chunks": op5_line_chunks,
+    "op6_crf_extraction": op6_crf_extraction,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_passages": op9_benchmark_passages,
