@@ -1,30 +1,66 @@
-"""A corpus pipeline: each stage works on the documents that the one before kept."""
+"""A corpus pipeline: each stage works on the documents that the one before kept.
+
+Stages take and return tables with the columns of ``documents`` (the last one
+returns token digests). They keep extra columns, handle NULLs and empty
+tables as their operators state, and need no caller to cache anything.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltaic.llm import queries
+from voltaic.llm import decontaminate, linechunks, quality, queries, simhash
 from voltaic.llm.common import read, written
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted to ``labels``, scores as good."""
+    return quality.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without repeated multi-line chunks in their texts.
+
+    ``n_chars``, where present, is the length of the new text.
+    """
+    out = linechunks.drop_repeated_chunks(docs).drop("__left", "__removed")
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return simhash.keep_one(docs, simhash.simhash_groups(docs))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of ``benchmark``."""
+    return decontaminate.drop_contaminated(docs, decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark")))
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every kept text, with digests; the last stage."""
+    """Token counts and digests of every kept text."""
     return queries.encode_documents(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
     ("byte_bpe", byte_bpe),
 ]
 
-#: Model fits and tree merges have no SQL form; tests compare with brute force.
+#: Model fits, fingerprints and token merges have no SQL form; a test compares
+#: every stage with a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; a table in the shared folder between stages cuts lineage."""
+    """Apply the stages to ``documents``; a table in the shared folder between
+    stages cuts lineage."""
     docs = read(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs if i == 0 else written(docs), sf_dir)
