@@ -11,8 +11,12 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from voltaic.session import local_session
-    s = local_session(cores="*", shuffle_partitions=8, app="voltaic-tests")
+    s = local_session(cores="*", shuffle_partitions=8, app="voltaic-tests", settings={
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="voltaic-wh-"),
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="voltaic-ckpt-")})
     yield s
     s.stop()
 

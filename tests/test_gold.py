@@ -21,7 +21,9 @@ def test_seed_dimensions(spark):
     assert len(fuel) == 6 and fuel["Gas"].carbon_factor_gco2_kwh == 490
     assert fuel["Hydro"].is_renewable and not fuel["Nuclear"].is_renewable
     assert G.dim_zone(spark).count() == 10
-    assert G.carbon_factors(G.dim_fuel_type(spark))["Other"] == 0
+    own = spark.createDataFrame([("Gas", 500), ("Coal", 900)], "fuel_type string, carbon_factor_gco2_kwh int")
+    factors = G.carbon_factors(own)
+    assert tuple(spark.range(1).select(factors["Gas"], factors["Other"], factors["Hydro"]).first()) == (500, 0, 0)
 
 
 def test_dim_date_with_holidays(spark):

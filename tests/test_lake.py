@@ -57,7 +57,7 @@ def test_run_layers_end_to_end(spark):
     assert summary[("gold", "fct_hourly_grid_snapshot")].rows == 2
     snap = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
     hour1 = snap.filter("hour = 1").collect()[0]
-    assert hour1.nuclear_mw == 9602.0 and hour1.energy_price == 25.5
+    assert hour1.nuclear_mw == 7100.0 and hour1.energy_price == 25.5
     assert hour1.carbon_intensity_gco2_kwh is not None
     assert spark.read.parquet(f"{root}/lake/gold/mart_daily_summary").count() == 1
 
@@ -88,7 +88,7 @@ def test_run_layers_isolates_a_failed_source(spark):
     landed = {
         "demand": [write(f"{root}/raw/demand.csv", DEMAND)],
         # a price report without the price column breaks its contract
-        "prices": [write(f"{root}/raw/prices.csv", "Date,Hour,Other\n2026-01-01,1,3\n")],
+        "prices": [write(f"{root}/raw/prices.csv", "Date,Hour,Other\n2031-02-03,1,3\n")],
     }
     summary = {(r.layer, r.table_name): r for r in
                run_layers(spark, LayerConfig(f"{root}/lake", landed)).collect()}

@@ -24,7 +24,7 @@ def test_keep_last_unique_and_idempotent(spark):
     assert sorted((r.hour, r.v) for r in once.collect()) == [(1, 11), (2, 20)]
     twice = keep_last(once, ["date", "hour"], ["seq"])
     assert sorted(once.collect()) == sorted(twice.collect())
-    # multi-column order (struct path) and mixed directions (window path)
+    # several columns, and mixed directions
     df2 = df.withColumn("b", F.lit(0))
     assert sorted((r.hour, r.v) for r in keep_last(df2, ["date", "hour"], ["b", "seq"]).collect()) \
         == [(1, 11), (2, 20)]
@@ -32,14 +32,16 @@ def test_keep_last_unique_and_idempotent(spark):
     assert sorted((r.hour, r.v) for r in mixed.collect()) == [(1, 10), (2, 20)]
 
 
-def test_pivot_latest_value_and_missing(spark):
-    rows = [(1, "Nuclear", 5.0, 1), (1, "Nuclear", 7.0, 2), (1, "Gas", None, 3),
-            (2, "Hydro", 1.0, 1)]
-    df = spark.createDataFrame(rows, "hour int, fuel string, v double, seq long")
-    out = {r.hour: r for r in pivot_measure(df, ["hour"], "fuel", "v", ["Nuclear", "Gas", "Hydro"],
-                                            order=["seq"]).collect()}
-    assert (out[1].Nuclear, out[1].Gas, out[1].Hydro) == (7.0, None, None)
-    assert out[2].Hydro == 1.0
+def test_pivot_cells_and_rest(spark):
+    rows = [(1, "Nuclear", 7.0), (1, "Coal", 2.0), (1, "Oil", 3.0), (1, "Other", 1.0), (2, "Hydro", 1.0),
+            (3, "Coal", 4.0)]
+    df = spark.createDataFrame(rows, "hour int, fuel string, v double")
+    fuels = ["Nuclear", "Hydro", "Other"]
+    out = {r.hour: r for r in pivot_measure(df, ["hour"], "fuel", "v", fuels, rest="Other").collect()}
+    assert (out[1].Nuclear, out[1].Hydro, out[1].Other) == (7.0, None, 6.0)
+    assert out[2].Hydro == 1.0 and out[3].Other == 4.0
+    bare = {r.hour: r for r in pivot_measure(df, ["hour"], "fuel", "v", fuels).collect()}
+    assert bare[1].Other == 1.0 and bare[3].Other is None
 
 
 def test_pivot_is_one_shuffle(spark):
@@ -151,13 +153,59 @@ def test_bucketed_rolling_equals_single_window(spark):
             assert abs(a.r7 - b.r7) < 1e-12 and abs(a.r30 - b.r30) < 1e-12
 
 
-def test_keep_last_window_fallback_for_text_order(spark):
-    rows = [(1, "b", 1, 10), (1, "a", 2, 11), (1, "a", 1, 12)]
+def test_keep_last_text_order_against_the_first_direction(spark):
+    rows = [(1, "b", 1, 10), (1, "a", 2, 11), (1, "a", 1, 12), (2, "ab", 5, 13), (2, "a", 5, 14), (2, "é", 5, 15)]
     df = spark.createDataFrame(rows, "k int, f string, pos int, v int")
-    # newest number first, then the text ascending: a string against the
-    # first direction cannot be negated, so a window picks the row
-    out = keep_last(df, ["k"], [("pos", True), ("f", False)]).collect()
-    assert [(r.f, r.pos, r.v) for r in out] == [("a", 2, 11)]
-    plan = keep_last(df, ["k"], [("pos", True), ("f", False)])._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "Window" in plan
+    # newest number first, then the text ascending
+    out = keep_last(df, ["k"], [("pos", True), ("f", False)])
+    assert sorted((r.k, r.f, r.pos, r.v) for r in out.collect()) == [(1, "a", 2, 11), (2, "a", 5, 14)]
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+ORDERS = [
+    ["n"], [("n", False)], ["w"], ["t"], [("t", False)], ["t", "w"], [("t", True), ("w", False)], ["n", "w"], ["z", "w"],
+    ["s", "w"], [("s", False), ("w", True)], ["w", "n"], ["x", "n"], [("x", False), ("n", True)], ["d", "n"], ["t", "n", "w"],
+]
+
+
+def test_keep_last_equals_row_number_with_nulls(spark):
+    """Every packed and struct order, NULLs last in either direction."""
+    import random
+    import pytest
+    from pyspark.sql import Window
+    rnd = random.Random(4)
+    pick = lambda *v: rnd.choice([None, *v])
+    stamps = [dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2024, 3, 10, 2, 30, 0, 1), dt.datetime(9999, 12, 31)]
+    rows = [(k, i, pick(-5, 0, 7), pick(-2 ** 63, -1, 0, 2 ** 63 - 1), pick(*stamps[1:3]), pick(*stamps), pick("", "a", "ab", "é", "z"),
+             pick(-1.5, 0.0, float("inf")), pick(D(1960, 1, 1), D(2026, 1, 1))) for k in range(40) for i in range(rnd.randint(1, 6))]
+    df = spark.createDataFrame(rows, "k int, i long, n int, w long, z timestamp, t timestamp_ntz, s string, x double, d date")
+    for order in ORDERS:
+        spec = [(o, True) if isinstance(o, str) else o for o in order] + [("i", True)]
+        # the row number makes each order total
+        total = df.withColumn("last", F.struct(*[F.col(c) for c, _ in spec]))
+        w = Window.partitionBy("k").orderBy(*[F.col(c).desc_nulls_last() if up else F.col(c).asc_nulls_last() for c, up in spec])
+        want = total.withColumn("rn", F.row_number().over(w)).where("rn = 1").select(*df.columns)
+        got = keep_last(df, ["k"], spec)
+        key = lambda r: r.k
+        assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key), order
+        one = keep_last(df.where("i = 0"), ["k"], order)
+        assert sorted(one.collect(), key=key) == sorted(df.where("i = 0").collect(), key=key), order
+    with pytest.raises(ValueError):
+        keep_last(df, ["k"], [])
+    with pytest.raises(ValueError):
+        keep_last(df, ["k"], ["absent"])
+
+
+def test_packed_order_needs_no_sort(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 2, 3.0)], "k int, t timestamp_ntz, id long, v double")
+    for order in (["t", "id"], ["id"], [("t", True), ("id", False)]):
+        plan = keep_last(df, ["k"], order)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_rolling_window_longer_than_a_bucket(spark):
+    from voltaic.operators.windows import rolling_mean
+    df = spark.createDataFrame([(D(2024, 1, 1) + dt.timedelta(days=7 * i), float(i)) for i in range(150)], "date date, v double")
+    got = with_rolling(df, "v", {"r": 400}).orderBy("date").collect()
+    want = df.select("*", rolling_mean("v", 400).alias("r")).orderBy("date").collect()
+    assert all(abs(a.r - b.r) < 1e-9 for a, b in zip(got, want)) and len(got) == 150

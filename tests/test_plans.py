@@ -32,11 +32,26 @@ def fresh_snapshot(spark):
 def test_snapshot_joins_reuse_partitioning(spark, no_auto_broadcast):
     plan = plan_text(fresh_snapshot(spark))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    # one shuffle per source aggregate; the three joins on (date, hour) add none
-    assert plan.count("Exchange hashpartitioning") == 4
+    # one shuffle per source aggregate, and one more for the pivot over the rows
+    # that keep-last left per fuel; the three joins on (date, hour) add none
+    assert plan.count("Exchange hashpartitioning") == 5
     assert plan.count("SortMergeJoin") == 3
 
 
+def test_generation_is_aggregated_without_a_sort(spark):
+    for name in ("generation_pivot", "generation_factors"):
+        plan = plan_text(catalog.QUERIES[name](spark, SF001))
+        assert "SortAggregate" not in plan and "Sort [" not in plan, name
+
+
+def test_no_driver_collect_in_the_library():
+    import pathlib
+    import re
+    root = pathlib.Path(catalog.__file__).parents[1]
+    files = [f for f in root.rglob("*.py") if "llm" not in f.parts]
+    assert files and not [f for f in files if re.search(r"\.(collect|toPandas|take)\(", f.read_text())]
+
+
 def test_scans_read_only_needed_columns(spark):
     plan = plan_text(fresh_snapshot(spark))
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan

@@ -37,7 +37,7 @@ def test_keep_last_matches_brute_force(spark, rows):
 def test_pivot_latest_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "k int, c string, v double, seq int")
     got = {r.k: (r.A, r.B, r.C) for r in
-           pivot_measure(df, ["k"], "c", "v", FUELS, order=["seq"]).collect()}
+           pivot_measure(keep_last(df, ["k", "c"], ["seq"]), ["k"], "c", "v", FUELS).collect()}
     latest = {}
     for k, c, v, seq in rows:
         if (k, c) not in latest or seq > latest[(k, c)][1]:

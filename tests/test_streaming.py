@@ -9,7 +9,7 @@ from conftest import write
 from voltaic.sources import reports as R
 from voltaic.streaming import realtime as RT
 
-HEAD = ("\\CREATED AT 2026/08/07 11:57:28 FOR 2026/08/07\n"
+HEAD = ("\\WRITTEN SOMETIME FOR 2031/02/03\n"
         "HOUR,INTERVAL,TOTAL ENERGY,TOTAL LOSS,TOTAL LOAD\n")
 
 

@@ -36,11 +36,14 @@ ZONE_SEED = (
 # Pivot list of the generation report: the six seed fuels plus "Other",
 # whose carbon factor is 0.
 FUELS = ("Nuclear", "Hydro", "Wind", "Solar", "Gas", "Biofuel", "Other")
+OTHER_FUEL = "Other"
 CARBON_FACTORS = {"Nuclear": 12, "Hydro": 24, "Wind": 11, "Solar": 45,
                   "Gas": 490, "Biofuel": 230, "Other": 0}
 # Clean share counts nuclear; renewable share (seed flag) does not.
 CLEAN_FUELS = ("Nuclear", "Hydro", "Wind", "Solar", "Biofuel")
 RENEWABLE_FUELS = ("Hydro", "Wind", "Solar", "Biofuel")
+# Fuels that the mix views and panels show, in their order.
+MIX_FUELS = ("Nuclear", "Gas", "Hydro", "Wind", "Solar", "Biofuel")
 # Fuels the generation report is expected to carry (quality check).
 EXPECTED_FUELS = ("Nuclear", "Gas", "Hydro", "Wind", "Solar", "Biofuel")
 

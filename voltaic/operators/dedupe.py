@@ -2,70 +2,111 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OrderSpec = Sequence[str | tuple[str, bool]]
 
+_NARROW = ("tinyint", "smallint", "int", "date", "boolean")
+_MICROS = ("timestamp", "timestamp_ntz")
+_WIDE = ("bigint",)
+_NEGATABLE = ("float", "double")
+# Multiplier that keeps the second column (shifted to 1 .. 2^64, NULL 0)
+# below one step of the first.
+_STEP = 2 * 10 ** 19
+
 
 def _normalise(order: OrderSpec, descending: bool) -> list[tuple[str, bool]]:
     return [(o, descending) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
 
 
+def _big(n: int) -> Column:
+    return F.lit(Decimal(n)).cast("decimal(20,0)")
+
+
+def _integer(name: str, dtype: str) -> Column:
+    """An order column as an exact integer in decimal(20,0)."""
+    c = F.col(name)
+    if dtype == "date":
+        c = F.unix_date(c)
+    elif dtype == "timestamp":
+        c = F.unix_micros(c)
+    elif dtype == "timestamp_ntz":
+        # From the fields, so that no session time zone enters.
+        seconds = F.unix_date(c.cast("date")).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+        c = seconds * 1000000 + (F.date_part(F.lit("SECOND"), c) * 1000000).cast("bigint")
+    elif dtype == "boolean":
+        c = c.cast("int")
+    return c.cast("decimal(20,0)")
+
+
+def _comparable(name: str, dtype: str, desc: bool) -> Column:
+    """A struct that sorts as the column does, greatest first; NULL is least."""
+    c = F.col(name)
+    if desc:
+        value = c
+    elif dtype in (*_NARROW, *_MICROS, *_WIDE):
+        value = -_integer(name, dtype)
+    elif dtype in _NEGATABLE or dtype.startswith("decimal"):
+        value = -c
+    elif dtype == "string":
+        # Complement of the UTF-8 bytes as hex digits; "G" puts a text
+        # before the longer ones that it starts.
+        value = F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    else:
+        raise ValueError(f"cannot order {name} ({dtype}) ascending")
+    return F.struct(c.isNotNull().alias("some"), value.alias("value"))
+
+
+def order_key(df: DataFrame, order: OrderSpec, descending: bool = True) -> Column:
+    """One column whose maximum is the first row by ``order``; never NULL.
+
+    A NULL order value comes last, in either direction.  Integers, dates and
+    timestamps, alone or as a (date or timestamp or int, integer or
+    timestamp) pair, are packed into one exact decimal, whose aggregate
+    buffer is fixed width, so ``max_by`` stays a hash aggregate and nothing
+    is sorted.  Whether a pair can be packed follows from its types alone.
+    Other types and longer orders give a struct (a sort-based aggregate,
+    still partial before its shuffle).
+    """
+    spec = _normalise(order, descending)
+    types = dict(df.dtypes)
+    missing = [c for c, _ in spec if c not in types]
+    if missing or not spec:
+        raise ValueError(f"order columns are missing: {missing or 'none given'}")
+    kinds = [types[c] for c, _ in spec]
+    signed = [_integer(c, t) if d else -_integer(c, t) for (c, d), t in zip(spec, kinds)
+              if t in (*_NARROW, *_MICROS, *_WIDE)]
+    if len(spec) == 1 and signed:
+        return F.coalesce(signed[0], _big(-10 ** 19))
+    if len(spec) == 2 and len(signed) == 2 and kinds[0] not in _WIDE:
+        high = F.coalesce(signed[0], _big(-4 * 10 ** 18))
+        low = F.coalesce(signed[1] + _big(2 ** 63 + 1),
+                         _big(0))
+        return ((high * _big(_STEP)).cast("decimal(38,0)") + low).cast("decimal(38,0)")
+    return F.struct(*[_comparable(c, t, d).alias(f"o{i}")
+                      for i, ((c, d), t) in enumerate(zip(spec, kinds))])
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: OrderSpec,
               descending: bool = True, drop_order: bool = False) -> DataFrame:
     """One row per ``keys``: the first row by ``order`` (descending by default,
     i.e. the last published).  ``order`` must be a total order within a key,
-    otherwise the survivor is not determined.
+    otherwise the survivor is not determined.  A NULL order value comes last,
+    so a key whose only row has one keeps that row.
 
-    When every order column runs the same way this is a single hash
-    aggregate with ``max_by``/``min_by`` on a struct: Spark combines
+    Always one aggregate with ``max_by`` on ``order_key``: Spark combines
     map-side before the shuffle, so a key that holds a third of all rows
     costs one small partial row per task, not one huge sorted group.
-    Mixed directions negate the numeric columns that run the other way;
-    only a non-numeric column against the first direction falls back to
-    ``row_number`` over a window.
     """
-    spec = _normalise(order, descending)
     keys = list(keys)
-    order_cols = [c for c, _ in spec]
-    rest = [c for c in df.columns if c not in keys]
-    types = dict(df.dtypes)
-    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
-    first = spec[0][1]
-    # Mixed directions: a numeric column that runs against the first one is
-    # negated, so the whole order runs one way and the aggregate applies.
-    if len({d for _, d in spec}) > 1 and all(
-            d == first or types[c] in numeric or types[c].startswith("decimal")
-            for c, d in spec):
-        ords = [F.col(c) if d == first else -F.col(c) for c, d in spec]
-        return _by_aggregate(df, keys, rest, ords, first, order_cols, drop_order)
-    if len({d for _, d in spec}) == 1:
-        return _by_aggregate(df, keys, rest, [F.col(c) for c in order_cols], spec[0][1],
-                             order_cols, drop_order)
-    w = Window.partitionBy(*keys).orderBy(
-        *[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in spec])
-    out = (df.withColumn("_rn", F.row_number().over(w))
-           .filter(F.col("_rn") == 1).drop("_rn"))
-    if drop_order:
-        out = out.drop(*[c for c in order_cols if c not in keys])
-    return out
-
-
-def _by_aggregate(df: DataFrame, keys: list[str], rest: list[str], ords: list,
-                  desc: bool, order_cols: list[str], drop_order: bool) -> DataFrame:
-    pick = F.max_by if desc else F.min_by
-    if len(ords) == 1:
-        # A single order column is a total order by contract, so each
-        # column's max_by picks the same row; primitive buffers keep this
-        # a hash aggregate.
-        out = df.groupBy(*keys).agg(*[pick(F.col(c), ords[0]).alias(c) for c in rest])
-    else:
-        packed = df.groupBy(*keys).agg(
-            pick(F.struct(*[F.col(c) for c in rest]), F.struct(*ords)).alias("_row"))
-        out = packed.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
-    if drop_order:
-        out = out.drop(*[c for c in order_cols if c not in keys])
-    return out
+    order_cols = [c for c, _ in _normalise(order, descending)]
+    rest = [c for c in df.columns if c not in keys and not (drop_order and c in order_cols)]
+    best = order_key(df, order, descending)
+    keyed = df.select(*keys, *rest, best.alias("__order"))
+    if not rest:
+        return keyed.select(*keys).distinct()
+    return keyed.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("__order")).alias(c) for c in rest])

@@ -53,17 +53,21 @@ def unexpected_values(df: DataFrame, column: str, allowed: Sequence[str]) -> Dat
     return df.select(c).filter(~c.isin(*allowed) | c.isNull()).distinct()
 
 
-def missing_hours(df: DataFrame, keys: Sequence[str] = config.KEYS) -> DataFrame:
-    """Hours of the calendar span of ``df`` that have no row.
-
-    The grid is generated (one row per day and hour of the span, no join);
-    present keys are reduced to distinct pairs map-side before the anti
-    join shuffles them.
+def missing_hours(df: DataFrame, keys: Sequence[str] = config.KEYS,
+                  calendar: DataFrame | None = None) -> DataFrame:
+    """Hours of a calendar span that have no row in ``df``.
+
+    The span is that of ``calendar`` (default ``df`` itself), per region
+    where it has one.  The grid is generated (one row per day and hour of
+    the span, no join); present keys are reduced to distinct ones map-side
+    before the anti join shuffles them.
     """
     date, hour = keys
-    grid = hour_grid(date_spine(df, date))
-    present = df.select(F.col(date).alias("date"), F.col(hour).alias("hour")).distinct()
-    return grid.join(present, on=["date", "hour"], how="left_anti")
+    source = df if calendar is None else calendar
+    series = config.series_of(source)
+    grid = hour_grid(date_spine(source, date))
+    present = df.select(*series, F.col(date).alias("date"), F.col(hour).alias("hour")).distinct()
+    return grid.join(present, on=[*series, "date", "hour"], how="left_anti")
 
 
 def recent(df: DataFrame, days: int, date: str = "date") -> DataFrame:

@@ -9,28 +9,23 @@ from pyspark.sql import functions as F
 
 
 def pivot_measure(df: DataFrame, keys: Sequence[str], category: str, value: str,
-                  values: Sequence[str], order: Sequence[str] | None = None,
+                  values: Sequence[str], rest: str | None = None,
                   rename: Callable[[str], str] | None = None) -> DataFrame:
     """One row per ``keys``, one column per entry of ``values``.
 
-    With ``order``, a cell holds the value of the latest row of that
-    category by ``order`` (descending), which folds the keep-last dedupe
-    into the pivot; without it, the cell is the maximum.  A cell with no
-    row, or whose latest value is NULL, is NULL.
+    A cell is the sum of ``value`` over the rows of its category (one row,
+    when ``df`` is unique on keys and category); a cell without a row is
+    NULL.  ``rest`` names the entry that also takes every category that is
+    not listed, so no row is lost; without it such rows are left out.
 
-    The value list is fixed, so no job runs to discover it.  The pivot is
-    written as one conditional aggregate per value: a single shuffle on
-    ``keys`` with partial aggregation before it.  (``GroupedData.pivot``
-    plans an extra aggregate and shuffle on ``keys + category``.)
+    The value list is fixed, so no job runs to discover it, and the pivot is
+    one conditional aggregate per value: a single shuffle on ``keys`` with
+    partial aggregation before it.
     """
     cat = F.col(category)
+    listed = cat.isin(*[v for v in values if v != rest])
     out = []
     for v in values:
-        hit = cat == F.lit(v)
-        if order:
-            agg = F.max_by(F.when(hit, F.col(value)),
-                           F.when(hit, F.struct(*[F.col(c) for c in order])))
-        else:
-            agg = F.max(F.when(hit, F.col(value)))
-        out.append(agg.alias(rename(v) if rename else v))
+        hit = ~listed if v == rest else cat == F.lit(v)
+        out.append(F.sum(F.when(hit, F.col(value))).alias(rename(v) if rename else v))
     return df.groupBy(*keys).agg(*out)

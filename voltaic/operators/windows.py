@@ -30,16 +30,17 @@ def with_rolling(df: DataFrame, value: str, windows: dict[str, int], date: str =
     """Add one rolling mean of ``value`` per entry of ``windows``
     (name -> days), computed in parallel over calendar buckets.
 
-    Rows are split into buckets of ``bucket_days`` consecutive days (per
-    series), and the last ``max(days) - 1`` days of each bucket are also
+    Rows are split into buckets of ``bucket_days`` consecutive days (more
+    if a window is longer; per series), and the last ``max(days) - 1`` days of each bucket are also
     copied into the next bucket as a halo.  Every frame then lies inside
     one bucket, the window runs per (series, bucket) in parallel, and the
     halo copies are dropped afterwards.  Each row is emitted at most
     twice, and the result equals the single-window result exactly.
     """
     reach = max(windows.values()) - 1
-    if reach >= bucket_days:
-        raise ValueError("bucket_days must exceed the longest window")
+    # A bucket is at least as long as the longest window, so that a frame
+    # reaches into one earlier bucket at most.
+    bucket_days = max(bucket_days, reach + 1)
     dn = day_number(date)
     home = F.floor(dn / bucket_days)
     # one row per target bucket: its own, plus the next one for the tail days

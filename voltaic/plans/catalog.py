@@ -100,6 +100,37 @@ def generation_pivot(spark, sf_dir):
                                                      row_sum(S.MW_COLUMNS))
 
 
+# The event feed with two types mapped to fuels outside the list and outputs
+# moved down, so that unlisted fuels and negative outputs occur.
+def unlisted_feed(spark, sf_dir):
+    fuel = F.col("fuel_type")
+    return (B.generation_feed(spark, sf_dir)
+            .withColumn("fuel_type", F.when(fuel == "Solar", "Coal").when(fuel == "Wind", "Oil").otherwise(fuel))
+            .withColumn("output_mw", F.col("output_mw") - UNLISTED_SHIFT))
+
+
+UNLISTED_SHIFT = 40
+UNLISTED_SQL = f"""(SELECT date, hour, CASE fuel_type WHEN 'Solar' THEN 'Coal' WHEN 'Wind' THEN 'Oil' ELSE fuel_type END AS fuel_type,
+       output_mw - {UNLISTED_SHIFT} AS output_mw, _published_at, _row_id FROM b_generation)"""
+
+
+@register("generation_unlisted", f"""
+SELECT date, hour, nuclear_mw, hydro_mw, gas_mw, other_mw, nuclear_mw + hydro_mw + gas_mw + other_mw AS total_generation_mw
+FROM (SELECT date, hour, coalesce(sum(output_mw) FILTER (WHERE fuel_type = 'Nuclear'), 0.0) AS nuclear_mw,
+             coalesce(sum(output_mw) FILTER (WHERE fuel_type = 'Hydro'), 0.0) AS hydro_mw,
+             coalesce(sum(output_mw) FILTER (WHERE fuel_type = 'Gas'), 0.0) AS gas_mw,
+             coalesce(sum(output_mw) FILTER (WHERE fuel_type IN ('Coal', 'Oil')), 0.0) AS other_mw
+      FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date, hour, fuel_type
+                                                       ORDER BY _published_at DESC, _row_id DESC) AS rn
+                           FROM {UNLISTED_SQL}) WHERE rn = 1 AND output_mw >= 0)
+      GROUP BY date, hour)""")
+def generation_unlisted(spark, sf_dir):
+    """Fuels outside the list count in other_mw and the total;
+    negative outputs are dropped after keep-last."""
+    wide = S.with_generation_shares(S.generation_wide(unlisted_feed(spark, sf_dir)))
+    return wide.select("date", "hour", "nuclear_mw", "hydro_mw", "gas_mw", "other_mw", "total_generation_mw")
+
+
 @register("generation_shares", "SELECT * FROM s_generation")
 def generation_shares(spark, sf_dir):
     """Percent share per fuel, clean share, renewable fraction."""
@@ -203,12 +234,8 @@ FROM g_last g LEFT JOIN {FUEL_VALUES} ON g.fuel_type = f.fuel_type""")
 def generation_factors(spark, sf_dir):
     """Latest output per hour and fuel with the fuel's seed
     attributes and emissions (MWh x g/kWh = kg)."""
-    raw = S.conform(B.generation_feed(spark, sf_dir),
-                    {"date": "date", "hour": "int", "fuel_type": "string", "output_mw": "double"})
-    raw = raw.dropna(subset=["date", "hour", "fuel_type"])
-    last = keep_last(raw, ["date", "hour", "fuel_type"], S.ORDER_COLUMNS, drop_order=True)
-    last = last.filter(F.col("output_mw").isNotNull() & (F.col("output_mw") >= 0))
-    return G.with_factors(last, G.dim_fuel_type(spark))
+    return G.with_factors(S.generation_last(B.generation_feed(spark, sf_dir)),
+                          G.dim_fuel_type(spark))
 
 
 @register("carbon_contribution", f"""

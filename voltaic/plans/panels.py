@@ -12,7 +12,7 @@ from ..functions import hour_ending_ts, round_half_up, safe_div
 from ..operators.joins import recent
 from ..operators.topk import last_n_ascending, latest, preview, sample_n
 
-MIX_FUELS = ("Nuclear", "Gas", "Hydro", "Wind", "Solar", "Biofuel")
+MIX_FUELS = config.MIX_FUELS
 
 
 def latest_status(snapshot: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def monthly_renewables(snapshot: DataFrame) -> DataFrame:
                    for f in ("Wind", "Solar", "Hydro", "Nuclear", "Gas")]))
 
 
-MIX_FUELS = ("Nuclear", "Gas", "Hydro", "Wind", "Solar", "Biofuel")
+MIX_FUELS = config.MIX_FUELS
 
 
 def hourly_generation_mix(snapshot: DataFrame) -> DataFrame:

@@ -39,16 +39,16 @@ def publication_order(df: DataFrame) -> list[str]:
     return [c for c in ORDER_COLUMNS if c in df.columns]
 
 
-def _drop_order(df: DataFrame) -> DataFrame:
-    return df.drop(*ORDER_COLUMNS)
+def _required_order(df: DataFrame) -> list[str]:
+    order = publication_order(df)
+    if not order:
+        raise ValueError(f"no publication order: need one of {', '.join(ORDER_COLUMNS)}")
+    return order
 
 
 def _dedupe(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     keys = list(keys) if keys is not None else config.series_of(df) + KEYS
-    order = publication_order(df)
-    if not order:
-        return df.dropDuplicates(list(keys))
-    return _drop_order(keep_last(df, keys, order))
+    return keep_last(df, keys, _required_order(df), drop_order=True)
 
 
 def demand(bronze: DataFrame) -> DataFrame:
@@ -73,20 +73,29 @@ def generation_wide(bronze: DataFrame) -> DataFrame:
 
     Per (date, hour, fuel) the last published row wins; it is then dropped
     if its output is NULL or negative, and a missing fuel is 0.  An hour
-    keeps its row only if some fuel survived.  Dedupe, filter and pivot
-    are one aggregate (one shuffle on the hour key).
+    keeps its row only if some fuel survived.  Fuels outside the list add up
+    in ``other_mw``, so totals count every fuel.
+
+    Two hash aggregates: keep-last per fuel, whose map-side combine leaves
+    one row per hour, fuel and task, then the pivot over those few rows.
     """
+    last = generation_last(bronze)
+    keys = config.series_of(last) + KEYS
+    wide = pivot_measure(last, keys, "fuel_type", "output_mw", config.FUELS,
+                         rest=config.OTHER_FUEL, rename=config.fuel_column)
+    return wide.select(*keys, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in MW_COLUMNS])
+
+
+def generation_last(bronze: DataFrame) -> DataFrame:
+    """The last published output per hour and fuel, NULL and negative ones
+    dropped (long form)."""
     df = conform(bronze, {"date": "date", "hour": "int", "fuel_type": "string",
                           "output_mw": "double"})
     df = df.dropna(subset=["date", "hour", "fuel_type"])
-    order = publication_order(df)
-    keys = config.series_of(df) + KEYS
-    wide = pivot_measure(df, keys, "fuel_type", "output_mw", config.FUELS,
-                         order=order or None, rename=config.fuel_column)
-    kept = [F.when(F.col(c) >= 0, F.col(c)) for c in MW_COLUMNS]
-    return (wide.filter(F.coalesce(*kept).isNotNull())
-            .select(*keys, *[F.coalesce(k, F.lit(0.0)).alias(c)
-                             for k, c in zip(kept, MW_COLUMNS)]))
+    keys = config.series_of(df) + KEYS + ["fuel_type"]
+    order = _required_order(df)
+    df = df.select(*keys, "output_mw", *order)
+    return keep_last(df, keys, order, drop_order=True).filter(F.col("output_mw") >= 0)
 
 
 def with_generation_shares(wide: DataFrame) -> DataFrame:
@@ -132,10 +141,16 @@ REALTIME_MEASURES = ("total_energy", "total_loss", "total_load", "total_disp_loa
 
 
 def realtime(bronze: DataFrame) -> DataFrame:
-    """Net load = energy - loss; loss_pct = round(loss / energy * 100, 2)."""
+    """Net load = energy - loss; loss_pct = round(loss / energy * 100, 2).
+
+    A frame with a publication order keeps the last row per interval, as the
+    stream does; one without must be unique on the interval."""
     types = {"date": "date", "hour": "int", "interval": "int"}
     types.update({m: "double" for m in REALTIME_MEASURES if m in bronze.columns})
     df = conform(bronze, types)
+    order = [c for c in ("_published_at", "_line_no") if c in df.columns]
+    if order:
+        df = keep_last(df, config.series_of(df) + KEYS + ["interval"], order, drop_order=True)
     return df.select(
         *df.columns,
         (F.col("total_energy") - F.col("total_loss")).alias("net_load"),

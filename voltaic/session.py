@@ -1,14 +1,13 @@
-"""Session helpers.
+"""A local session for tests and the bench.
 
-The library never creates a session inside an operator.  ``local_session``
-is for tests and the bench; on a cluster the caller's session is used as
-is, and only settings that are unset get a default here.
+The library never creates a session inside an operator and sets nothing on
+the caller's: on a cluster the caller's session is used as it is.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
+from typing import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -27,34 +26,13 @@ DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "voltaic") -> SparkSession:
-    """A local session for tests and the bench."""
+                  app: str = "voltaic", settings: Mapping[str, str] | None = None) -> SparkSession:
+    """A local session for tests and the bench; ``settings`` are added."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("VOLTAIC_DRIVER_MEMORY", "8g"))
-               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="voltaic-wh-"))
-               # Tests only: a scratch checkpoint folder, since none is set.
-               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="voltaic-ckpt-")))
-    for key, value in DEFAULTS.items():
+               .config("spark.driver.memory", os.environ.get("VOLTAIC_DRIVER_MEMORY", "8g")))
+    for key, value in {**DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this setting names a shared folder and is only read.
-    ``local_session`` sets a scratch folder because tests have none.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")

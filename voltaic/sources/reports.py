@@ -12,7 +12,9 @@ the file, so that the keep-last rule has a named order.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +53,34 @@ def _file_order(df: DataFrame) -> DataFrame:
                  F.monotonically_increasing_id().alias("row")).alias("_row_id"))
 
 
+def files_by_header(spark: SparkSession, paths: str | Sequence[str]) -> list[list[str]]:
+    """Report files grouped by their header, the first line that is neither
+    blank nor a banner line.  One distributed read; the driver gets the file
+    list, as it does for any read, with one group per distinct header."""
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("row")).alias("at"))
+    lines = lines.filter((F.trim("value") != "") & ~F.col("value").startswith(BANNER_PREFIX))
+    headers = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return [[unquote(p) for p in r.paths] for r in groups.orderBy("header").collect()]
+
+
 def read_banner_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """A delimited report whose leading banner lines start with a
-    backslash.  All cells are read as text; callers conform the types."""
-    df = (spark.read.option("header", True).option("comment", BANNER_PREFIX)
-          .option("escape", '"').option("inferSchema", False).csv(paths))
-    return canonical_columns(_file_order(df))
+    """Delimited reports whose leading banner lines start with a
+    backslash.  All cells are read as text; callers conform the types.
+
+    Files are joined by column name: those with one header are one read, and
+    reads are unioned by name, so a column that moved stays itself and one
+    that a file lacks is NULL there."""
+    def read(files: str | Sequence[str]) -> DataFrame:
+        df = (spark.read.option("header", True).option("comment", BANNER_PREFIX)
+              .option("escape", '"').option("inferSchema", False).csv(files))
+        return canonical_columns(_file_order(df))
+
+    parts = [read(files) for files in files_by_header(spark, paths)] or [read(paths)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _select_report(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -66,11 +90,12 @@ def _select_report(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Numbers through try_cast (a bad cell is NULL), dates parsed."""
+    """Numbers and dates through try_cast: a bad cell is NULL (see
+    ``split_rejects`` for rows without a date)."""
     out = []
     for c in df.columns:
         if c == "date":
-            out.append(F.to_date(F.trim(F.col(c))).alias(c))
+            out.append(F.trim(F.col(c)).try_cast("date").alias(c))
         elif c in types:
             out.append(F.trim(F.col(c)).try_cast(types[c]).alias(c))
         else:
@@ -126,7 +151,7 @@ def read_generation_xml(spark: SparkSession, paths: str | Sequence[str]) -> Data
                          F.posexplode("h.FuelTotal").alias("_fpos", "f"))
     out = F.col("f.EnergyValue.Output")
     return (fuels.filter(F.col("f.Fuel").isNotNull() & out.isNotNull() & (out != ""))
-            .select(F.to_date("Day").alias("date"),
+            .select(F.trim("Day").try_cast("date").alias("date"),
                     F.trim("Hour").try_cast("int").alias("hour"),
                     F.initcap(F.trim("f.Fuel")).alias("fuel_type"),
                     F.trim(out).try_cast("double").alias("output_mw"),
@@ -164,37 +189,39 @@ def read_intertie_xml(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     """Scheduled import and export per (date, hour, zone), with the
     actual flow of the hour attached (the last Actual of the hour wins,
     even when its flow is empty; Actuals without a schedule are dropped).
-    One report date per file; a file without a date yields no rows."""
+    Where several files hold one hour, schedule and actual both come from
+    the last published file that schedules it.  One report date per file; a
+    date that cannot be read is NULL."""
     from ..operators.joins import attach_actuals
     body = (spark.read.format("xml").option("rowTag", "IMODocBody")
-            .schema(INTERTIE_SCHEMA).load(paths)
-            .filter(F.col("Date").isNotNull()))
-    zones = (body.select(F.to_date(F.trim("Date")).alias("date"),
+            .schema(INTERTIE_SCHEMA).load(paths))
+    zones = (body.select(F.trim("Date").try_cast("date").alias("date"),
                          F.col("_metadata.file_path").alias("_published_at"),
-                         F.explode("IntertieZone").alias("z"))
+                         F.posexplode("IntertieZone").alias("_zone", "z"))
              .filter(F.col("z.IntertieZoneName").isNotNull())
-             .select("date", "_published_at", F.trim("z.IntertieZoneName").alias("intertie_zone"),
+             .select("date", "_published_at", "_zone",
+                     F.trim("z.IntertieZoneName").alias("intertie_zone"),
                      F.flatten(F.col("z.Schedules.Schedule")).alias("sched"),
                      F.flatten(F.col("z.Actuals.Actual")).alias("act")))
     keys = ["date", "hour", "intertie_zone"]
-    schedules = (zones.select("date", "intertie_zone", "_published_at",
+    schedules = (zones.select("date", "intertie_zone", "_published_at", "_zone",
                               F.posexplode("sched").alias("_pos", "s"))
                  .filter(F.col("s.Hour").isNotNull())
                  .select("date", F.trim("s.Hour").try_cast("int").alias("hour"),
                          "intertie_zone",
                          _mw(F.col("s.Import")).alias("schedule_import_mw"),
                          _mw(F.col("s.Export")).alias("schedule_export_mw"),
-                         "_published_at", "_pos"))
+                         "_published_at", "_zone", "_pos"))
     # A repeated schedule key: keep the first row of the file (only it is
     # filled upstream), then attach the actual.
-    schedules = keep_last(schedules, keys, [("_published_at", True), ("_pos", False)],
-                          drop_order=True)
-    actuals = (zones.select("date", "intertie_zone", F.posexplode("act").alias("pos", "a"))
+    schedules = keep_last(schedules, keys, [("_published_at", True), ("_zone", False), ("_pos", False)])
+    actuals = (zones.select("date", "intertie_zone", "_published_at", "_zone",
+                            F.posexplode("act").alias("pos", "a"))
                .filter(F.col("a.Hour").isNotNull() & F.col("a.Flow").isNotNull())
                .select("date", F.trim("a.Hour").try_cast("int").alias("hour"),
-                       "intertie_zone", "pos",
+                       "intertie_zone", "_published_at", F.struct("_zone", "pos").alias("pos"),
                        F.trim("a.Flow").try_cast("double").alias("flow")))
-    return attach_actuals(schedules, actuals, keys=keys)
+    return attach_actuals(schedules, actuals, keys=[*keys, "_published_at"]).drop("_published_at", "_zone", "_pos")
 
 
 REALTIME_COLUMNS = ("hour", "interval", "total_energy", "total_loss", "total_load",
@@ -218,7 +245,7 @@ def parse_realtime_text(text: DataFrame, value: str = "value") -> DataFrame:
     header = F.when(header_at > 0, F.try_element_at(lines, header_at.cast("int")))  # noqa
     names = F.transform(F.split(header, ","),
                         lambda h: F.lower(F.regexp_replace(F.trim(h), " ", "_")))
-    body = F.filter(F.slice(lines, (header_at + 1).cast("int"), 1 << 30), lambda l: l != "")
+    body = F.filter(F.slice(lines, (header_at + 1).cast("int"), F.size(lines)), lambda l: l != "")
     parsed = text.select(
         F.to_date(F.try_to_timestamp(date_text, F.lit(REALTIME_DATE_FORMAT))).alias("date"),
         names.alias("_names"),
@@ -286,7 +313,8 @@ def read_weather_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
 
 
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The paths that exist (a metadata call per path, on the driver)."""
+    """The paths or globs that exist (a metadata call each, on the driver, and
+    no data read; name a folder or a glob where files are many)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
