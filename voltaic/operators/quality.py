@@ -7,6 +7,7 @@ reduce to one row per key or value, then total those rows.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -30,16 +31,16 @@ def require_contract(df: DataFrame, columns: Sequence[str], name: str = "source"
     return df
 
 
-def quality_demand(df: DataFrame, value: str = "region_demand",
-                   keys: Sequence[str] = config.KEYS) -> DataFrame:
-    """Rows below 0, above 35000, hours outside 1-24, and all members of
-    duplicate keys; passed when all are 0."""
+def quality_demand(df: DataFrame, value: str = "region_demand", keys: Sequence[str] = config.KEYS,
+                   low: float = config.DEMAND_MIN, high: float = config.DEMAND_MAX) -> DataFrame:
+    """Rows below ``low`` (0), above ``high`` (35000), hours outside 1-24, and
+    all members of duplicate keys (region, date, hour); passed when all are 0."""
     v, h = F.col(value), F.col(keys[1])
     lo, hi = config.HOURS
-    per_key = df.groupBy(*keys).agg(
+    per_key = df.groupBy(*config.series_of(df), *keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(v < config.DEMAND_MIN).alias("neg"),
-        F.count_if(v > config.DEMAND_MAX).alias("ext"),
+        F.count_if(v < low).alias("neg"),
+        F.count_if(v > high).alias("ext"),
         F.count_if((h < lo) | (h > hi)).alias("bad_hour"))
     totals = per_key.agg(
         F.sum("n").alias("rows"), F.sum("neg").alias("negative_rows"),
@@ -72,13 +73,14 @@ def quality_generation(df: DataFrame, fuel: str = "fuel_type", value: str = "out
          (F.col("unexpected_fuels") == 0)).alias("passed"))
 
 
-def quality_prices(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per named price column: rows below -100 and above 10000.  One
-    aggregate over all columns, then one output row per column."""
+def quality_prices(df: DataFrame, columns: Sequence[str], low: float = config.PRICE_MIN,
+                   high: float = config.PRICE_MAX) -> DataFrame:
+    """Per named price column: rows below ``low`` (-100) and above ``high``
+    (10000).  One aggregate over all columns, then one output row per column."""
     aggs = []
     for c in columns:
-        aggs += [F.count_if(F.col(c) < config.PRICE_MIN).alias(f"{c}__lo"),
-                 F.count_if(F.col(c) > config.PRICE_MAX).alias(f"{c}__hi")]
+        aggs += [F.count_if(F.col(c) < low).alias(f"{c}__lo"),
+                 F.count_if(F.col(c) > high).alias(f"{c}__hi")]
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"),
                               F.col(f"`{c}__lo`").alias("rows_below_min"),
@@ -89,17 +91,17 @@ def quality_prices(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: non-null count, distinct values, minimum and maximum
-    (as text).  One aggregate, one output row per column."""
-    aggs = []
-    for c in columns:
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"{c}__n"), F.count_distinct(x).alias(f"{c}__d"),
-                 F.min(x).cast("string").alias(f"{c}__lo"),
-                 F.max(x).cast("string").alias(f"{c}__hi")]
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                              F.col(f"`{c}__n`").alias("non_null"),
-                              F.col(f"`{c}__d`").alias("distinct_values"),
-                              F.col(f"`{c}__lo`").alias("min_value"),
-                              F.col(f"`{c}__hi`").alias("max_value")) for c in columns])
-    return wide.select(F.inline(rows))
+    (as text).  Each column is first counted per value, a hash aggregate
+    that combines map-side; the figures then come from the distinct values
+    only.  One read per column of that column alone, no sort, no row copied
+    per distinct count."""
+    def one(c: str) -> DataFrame:
+        values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        return values.agg(
+            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
+            F.count("value").alias("distinct_values"),
+            F.min("value").cast("string").alias("min_value"),
+            F.max("value").cast("string").alias("max_value"),
+        ).select(F.lit(c).alias("column_name"), "non_null", "distinct_values", "min_value", "max_value")
+
+    return reduce(DataFrame.unionByName, [one(c) for c in columns])

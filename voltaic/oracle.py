@@ -106,14 +106,18 @@ CTES: list[tuple[str, str]] = [
     ("b_realtime", """
     SELECT date, hour, interval,
            CAST(e AS DOUBLE) AS total_energy, CAST(l AS DOUBLE) AS total_loss,
-           CAST(e - l AS DOUBLE) AS total_load
+           CAST(e - l AS DOUBLE) AS total_load, CAST(r1 AS DOUBLE) AS total_10s,
+           CAST(r2 AS DOUBLE) AS total_10n, CAST(r3 AS DOUBLE) AS total_30r
     FROM (
       SELECT CAST(ts AS DATE) AS date, CAST(hour(ts) + 1 AS INTEGER) AS hour,
              CAST(minute(ts) // 5 + 1 AS INTEGER) AS interval,
              sum(CASE WHEN event_type = 'purchase' THEN CAST(0 AS DECIMAL(20,4))
                       ELSE CAST(value AS DECIMAL(20,4)) END) AS e,
              CAST(0.02 AS DECIMAL(3,2)) * sum(CASE WHEN event_type = 'error'
-                      THEN CAST(value AS DECIMAL(20,4)) ELSE CAST(0 AS DECIMAL(20,4)) END) AS l
+                      THEN CAST(value AS DECIMAL(20,4)) ELSE CAST(0 AS DECIMAL(20,4)) END) AS l,
+             coalesce(sum(CAST(value AS DECIMAL(20,4))) FILTER (WHERE event_type = 'click'), 0) AS r1,
+             coalesce(sum(CAST(value AS DECIMAL(20,4))) FILTER (WHERE event_type = 'view'), 0) AS r2,
+             coalesce(sum(CAST(value AS DECIMAL(20,4))) FILTER (WHERE event_type = 'signup'), 0) AS r3
       FROM events GROUP BY 1, 2, 3)"""),
     ("b_intertie", """
     SELECT DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) AS date,

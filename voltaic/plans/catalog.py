@@ -471,9 +471,12 @@ def price_series(spark, sf_dir):
     return panels.price_series(snapshot(spark, sf_dir))
 
 
-@register("price_temperature_sample")
+@register("price_temperature_sample", """
+SELECT date, hour, temperature_c, energy_price FROM snapshot
+WHERE energy_price IS NOT NULL AND temperature_c IS NOT NULL
+ORDER BY md5(strftime(date, '%Y-%m-%d') || '|' || CAST(hour AS VARCHAR) || '|7'), date, hour LIMIT 500""")
 def price_temperature_sample(spark, sf_dir):
-    """At most 500 random hours (rows-only check)."""
+    """At most 500 random hours."""
     from . import panels
     return panels.price_temperature_sample(snapshot(spark, sf_dir))
 
@@ -499,9 +502,11 @@ def carbon_hour_means(spark, sf_dir):
     return panels.carbon_hour_means(carbon_mart_plan(spark, sf_dir))
 
 
-@register("carbon_gas_sample")
+@register("carbon_gas_sample", """
+SELECT date, hour, gas_mw, carbon_intensity_gco2_kwh, season FROM carbon_mart
+ORDER BY md5(strftime(date, '%Y-%m-%d') || '|' || CAST(hour AS VARCHAR) || '|7'), date, hour LIMIT 800""")
 def carbon_gas_sample(spark, sf_dir):
-    """At most 800 random hours of the carbon mart (rows-only check)."""
+    """At most 800 random hours of the carbon mart."""
     from . import panels
     return panels.carbon_gas_sample(carbon_mart_plan(spark, sf_dir))
 
@@ -521,12 +526,12 @@ def gold_tables(spark, sf_dir) -> dict[str, DataFrame]:
 SELECT 'fct_hourly_grid_snapshot' AS table_name, count(*) AS rows FROM snapshot
 UNION ALL SELECT 'mart_daily_summary', count(*) FROM daily_mart
 UNION ALL SELECT 'mart_carbon_intensity', count(*) FROM carbon_mart
-UNION ALL SELECT 'dim_date', (SELECT CAST(max(date) - min(date) AS BIGINT) + 1 FROM s_demand)
-UNION ALL SELECT 'dim_fuel_type', 6""")
+UNION ALL SELECT 'dim_date', (SELECT CAST(max(date) - min(date) AS BIGINT) + 1 FROM s_demand)""")
 def table_counts(spark, sf_dir):
-    """Rows of each gold table."""
+    """Rows of each gold table that derives from the feeds."""
     from . import panels
-    return panels.table_counts(gold_tables(spark, sf_dir))
+    tables = gold_tables(spark, sf_dir)
+    return panels.table_counts({n: t for n, t in tables.items() if n != "dim_fuel_type"})
 
 
 @register("preview", "SELECT * FROM snapshot ORDER BY date, hour LIMIT 100")
@@ -636,7 +641,8 @@ def profile(spark, sf_dir):
 SELECT date, hour, {O.R('avg(total_energy)')} AS energy_mw, {O.R('avg(total_loss)')} AS loss_mw,
        {O.R('avg(total_load)')} AS load_mw,
        {O.PCT('sum(total_loss)', 'sum(total_energy)')} AS loss_pct,
-       count(*) AS intervals
+       {O.R('avg(total_10s)')} AS reserve_10s_mw, {O.R('avg(total_10n)')} AS reserve_10n_mw,
+       {O.R('avg(total_30r)')} AS reserve_30r_mw, count(*) AS intervals
 FROM b_realtime GROUP BY date, hour""")
 def realtime_hourly(spark, sf_dir):
     """K2 (batch form): 5-minute totals to hourly means."""
@@ -661,3 +667,152 @@ def view_sql(spark, sf_dir):
         FROM v_carbon_by_hour v
         JOIN (SELECT hour, count_if(price_regime = 'Spike') AS n_spikes
               FROM v_price_analysis GROUP BY hour) p ON v.hour = p.hour""")
+
+
+@register("snapshot_losses", f"""
+SELECT s.date, s.hour, s.region_demand, s.total_generation_mw, s.energy_price,
+       r.loss AS total_loss_mw, r.r1 AS reserve_10s_mw, r.r2 AS reserve_10n_mw, r.r3 AS reserve_30r_mw
+FROM snapshot s LEFT JOIN (
+  SELECT date, hour, {O.R('avg(total_loss)')} AS loss, {O.R('avg(total_10s)')} AS r1,
+         {O.R('avg(total_10n)')} AS r2, {O.R('avg(total_30r)')} AS r3
+  FROM b_realtime GROUP BY date, hour) r ON s.date = r.date AND s.hour = r.hour""")
+def snapshot_losses(spark, sf_dir):
+    """The snapshot with its fourth side, loss and reserves."""
+    from ..streaming.realtime import hourly_totals, snapshot_side
+    hourly = hourly_totals(S.realtime(B.realtime_feed(spark, sf_dir)))
+    snap = G.hourly_snapshot(silver_demand(spark, sf_dir), silver_generation(spark, sf_dir),
+                             S.prices(B.price_feed(spark, sf_dir)), realtime=snapshot_side(hourly))
+    return snap.select("date", "hour", "region_demand", "total_generation_mw", "energy_price",
+                       "total_loss_mw", "reserve_10s_mw", "reserve_10n_mw", "reserve_30r_mw")
+
+
+# --- checks that find something --------------------------------------------------------------
+
+@register("missing_price_hours", """
+SELECT g.date, g.hour
+FROM (SELECT CAST(d AS DATE) AS date, h AS hour
+      FROM (SELECT min(date) AS lo, max(date) AS hi FROM b_demand),
+           generate_series(lo, hi, INTERVAL 1 DAY) AS t(d), range(1, 25) AS r(h)) g
+WHERE NOT EXISTS (SELECT 1 FROM b_prices b WHERE b.date = g.date AND b.hour = g.hour)""")
+def missing_price_hours(spark, sf_dir):
+    """Hours of the demand calendar without a price."""
+    from ..operators.joins import missing_hours as mh
+    return mh(B.price_feed(spark, sf_dir), calendar=B.demand_feed(spark, sf_dir))
+
+
+@register("unlisted_fuels", f"""
+SELECT DISTINCT fuel_type FROM {UNLISTED_SQL}
+WHERE fuel_type IS NULL OR fuel_type NOT IN ('Nuclear', 'Gas', 'Hydro', 'Wind', 'Solar', 'Biofuel')""")
+def unlisted_fuels(spark, sf_dir):
+    """J6, A18, U2 on a feed that holds fuels outside the list."""
+    from ..operators.joins import unexpected_values
+    return unexpected_values(unlisted_feed(spark, sf_dir), "fuel_type", config.EXPECTED_FUELS)
+
+
+@register("quality_unlisted", f"""
+SELECT 'generation' AS source, count(*) AS rows, count(*) FILTER (WHERE output_mw < 0) AS negative_rows,
+       count(DISTINCT fuel_type) FILTER (WHERE fuel_type NOT IN
+            ('Nuclear', 'Gas', 'Hydro', 'Wind', 'Solar', 'Biofuel')) AS unexpected_fuels, false AS passed
+FROM {UNLISTED_SQL}""")
+def quality_unlisted(spark, sf_dir):
+    """A15 on a feed with negative outputs and unlisted fuels."""
+    from ..operators.quality import quality_generation as q
+    return q(unlisted_feed(spark, sf_dir))
+
+
+@register("quality_price_bounds", """
+SELECT 'energy_price' AS column_name, count(*) FILTER (WHERE energy_price < 0) AS rows_below_min,
+       count(*) FILTER (WHERE energy_price > 100) AS rows_above_max, false AS passed
+FROM b_prices""")
+def quality_price_bounds(spark, sf_dir):
+    """A16 with tighter bounds, so that some rows fail."""
+    from ..operators.quality import quality_prices as q
+    return q(B.price_feed(spark, sf_dir), ["energy_price"], low=0, high=100)
+
+
+# --- many regions ------------------------------------------------------------------------------
+
+def regional_snapshot_plan(spark, sf_dir) -> DataFrame:
+    return _shared(spark, sf_dir, "regional_snapshot", lambda: G.hourly_snapshot(
+        S.demand(B.regional(spark, sf_dir, "demand")),
+        S.generation(B.regional(spark, sf_dir, "generation"), features=False),
+        S.prices(B.regional(spark, sf_dir, "prices")),
+        S.weather(B.regional(spark, sf_dir, "weather"))))
+
+
+_R = B.REGIONS
+_REGIONAL_SQL = f"""
+d AS (SELECT * FROM (SELECT 'R' || CAST(o_custkey % {_R} AS VARCHAR) AS region, b.*,
+        row_number() OVER (PARTITION BY o_custkey % {_R}, date, hour ORDER BY _row_id DESC) AS rn
+      FROM b_demand b JOIN orders ON o_orderkey = _row_id) WHERE rn = 1),
+g AS (SELECT region, date, hour, sum(output_mw) FILTER (WHERE fuel_type = 'Nuclear') AS nuclear,
+             sum(CAST(output_mw AS DECIMAL(20,4))) AS total
+      FROM (SELECT 'R' || CAST(_row_id % {_R} AS VARCHAR) AS region, b.*,
+              row_number() OVER (PARTITION BY _row_id % {_R}, date, hour, fuel_type ORDER BY _published_at DESC, _row_id DESC) AS rn
+            FROM b_generation b) WHERE rn = 1 AND output_mw >= 0 GROUP BY region, date, hour),
+p AS (SELECT * FROM (SELECT 'R' || CAST(c_nationkey % {_R} AS VARCHAR) AS region, b.*,
+        row_number() OVER (PARTITION BY c_nationkey % {_R}, date, hour ORDER BY _row_id DESC) AS rn
+      FROM b_prices b JOIN customer ON c_custkey = _row_id) WHERE rn = 1),
+w AS (SELECT * FROM (SELECT 'R' || CAST(_row_id % {_R} AS VARCHAR) AS region, b.*,
+        row_number() OVER (PARTITION BY _row_id % {_R}, date, hour ORDER BY _row_id DESC) AS rn
+      FROM b_weather b) WHERE rn = 1),
+r AS (SELECT d.region, d.date, d.hour, d.region_demand, coalesce(g.nuclear, CASE WHEN g.total IS NOT NULL THEN 0.0 END) AS nuclear_mw,
+             {O.R('g.total')} AS total_generation_mw, p.energy_price, w.temperature_c
+      FROM d LEFT JOIN g ON (d.region, d.date, d.hour) = (g.region, g.date, g.hour)
+             LEFT JOIN p ON (d.region, d.date, d.hour) = (p.region, p.date, p.hour)
+             LEFT JOIN w ON (d.region, d.date, d.hour) = (w.region, w.date, w.hour))"""
+
+
+def _regional(sql: str) -> str:
+    """Prefix the regional tables, after the shared ones that they name."""
+    head = O.with_ctes("SELECT * FROM b_demand, b_generation, b_prices, b_weather").rpartition("\nSELECT")[0]
+    return f"{head},{_REGIONAL_SQL}\n{sql}"
+
+
+def _register_regional(name: str, sql: str):
+    def deco(fn: Query) -> Query:
+        QUERIES[name], ORACLE[name] = fn, _regional(sql)
+        return fn
+    return deco
+
+
+@_register_regional("regional_snapshot", "SELECT * FROM r")
+def regional_snapshot(spark, sf_dir):
+    """J1-J3 with a region column leading every key."""
+    from ..functions import round_half_up
+    return regional_snapshot_plan(spark, sf_dir).select(
+        "region", "date", "hour", "region_demand", "nuclear_mw",
+        round_half_up("total_generation_mw", 2).alias("total_generation_mw"), "energy_price", "temperature_c")
+
+
+@_register_regional("regional_latest_status", """
+SELECT region, date, hour, region_demand, total_generation_mw, energy_price
+FROM (SELECT *, row_number() OVER (PARTITION BY region ORDER BY date DESC, hour DESC) AS n
+      FROM r WHERE total_generation_mw IS NOT NULL) WHERE n = 1""")
+def regional_latest_status(spark, sf_dir):
+    """T1 per region."""
+    from ..functions import round_half_up
+    from . import panels
+    return panels.latest_status(regional_snapshot_plan(spark, sf_dir)).select(
+        "region", "date", "hour", "region_demand",
+        round_half_up("total_generation_mw", 2).alias("total_generation_mw"), "energy_price")
+
+
+@_register_regional("regional_missing_hours", """
+SELECT c.region, CAST(c.d AS DATE) AS date, c.hour
+FROM (SELECT region, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d, h AS hour
+      FROM (SELECT region, min(date) AS lo, max(date) AS hi FROM g GROUP BY region), range(1, 25) AS t(h)) c
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.region = c.region AND p.date = c.d AND p.hour = c.hour)""")
+def regional_missing_hours(spark, sf_dir):
+    """J7 per region: hours of a region's generation calendar without a price."""
+    from ..operators.joins import missing_hours as mh
+    return mh(B.regional(spark, sf_dir, "prices"), calendar=B.regional(spark, sf_dir, "generation"))
+
+
+@_register_regional("regional_price_by_hour", f"""
+SELECT region, hour, {O.R('avg(energy_price)')} AS avg_price
+FROM r WHERE energy_price IS NOT NULL GROUP BY region, hour""")
+def regional_price_by_hour(spark, sf_dir):
+    """A8 per region."""
+    from . import panels
+    return panels.price_by_hour(regional_snapshot_plan(spark, sf_dir))

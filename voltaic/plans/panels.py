@@ -16,12 +16,13 @@ MIX_FUELS = config.MIX_FUELS
 
 
 def latest_status(snapshot: DataFrame) -> DataFrame:
-    """The latest hour that has generation: demand, generation, clean
-    share, price, intensity."""
+    """The latest hour that has generation (of each region): demand,
+    generation, clean share, price, intensity."""
+    series = config.series_of(snapshot)
     s = snapshot.filter(F.col("total_generation_mw").isNotNull())
-    return latest(s, 1).select("date", "hour", "region_demand", "total_generation_mw",
-                               "clean_energy_pct", "energy_price",
-                               "carbon_intensity_gco2_kwh")
+    s = s.select(*series, "date", "hour", "region_demand", "total_generation_mw", "clean_energy_pct",
+                 "energy_price", "carbon_intensity_gco2_kwh")
+    return latest(s, 1, series=series)
 
 
 LAST_DAYS_COLUMNS = ("date", "season", "avg_demand_mw", "peak_demand_mw", "avg_price",
@@ -31,7 +32,8 @@ LAST_DAYS_COLUMNS = ("date", "season", "avg_demand_mw", "peak_demand_mw", "avg_p
 def last_days(daily_mart: DataFrame, n: int = config.LAST_DAYS) -> DataFrame:
     """The last ``n`` days of the daily mart, oldest first, measures with
     NULL shown as 0."""
-    rows = last_n_ascending(daily_mart.select(*LAST_DAYS_COLUMNS), n)
+    series = config.series_of(daily_mart)
+    rows = last_n_ascending(daily_mart.select(*series, *LAST_DAYS_COLUMNS), n, series=series)
     numeric = [c for c, t in rows.dtypes if t in ("double", "int", "bigint")]
     return rows.na.fill(0, subset=numeric)
 
@@ -39,37 +41,38 @@ def last_days(daily_mart: DataFrame, n: int = config.LAST_DAYS) -> DataFrame:
 def recent_demand(snapshot: DataFrame, days: int = config.RECENT_DAYS) -> DataFrame:
     """Demand of the last ``days`` days (both ends) with plot time."""
     return recent(snapshot, days).select(
-        "date", "hour", "region_demand", "market_demand",
+        *config.series_of(snapshot), "date", "hour", "region_demand", "market_demand",
         hour_ending_ts("date", "hour").alias("ts"))
 
 
 def recent_generation(snapshot: DataFrame, days: int = config.RECENT_DAYS) -> DataFrame:
     """MW per fuel of the last ``days`` days with plot time."""
     return recent(snapshot, days).select(
-        "date", "hour", *[config.fuel_column(f) for f in MIX_FUELS],
+        *config.series_of(snapshot), "date", "hour", *[config.fuel_column(f) for f in MIX_FUELS],
         hour_ending_ts("date", "hour").alias("ts"))
 
 
 def average_mix(snapshot: DataFrame) -> DataFrame:
     """Mean MW per fuel and its share of the sum of the means.
 
-    One global aggregate (partial per task, one row), shares computed in
+    One aggregate (partial per task, one row per region), shares computed in
     that row, then unpivoted to one row per fuel.
     """
-    means = snapshot.agg(*[F.avg(config.fuel_column(f)).alias(f) for f in MIX_FUELS])
+    series = config.series_of(snapshot)
+    means = snapshot.groupBy(*series).agg(*[F.avg(config.fuel_column(f)).alias(f) for f in MIX_FUELS])
     whole = sum((F.coalesce(F.col(f), F.lit(0.0)) for f in MIX_FUELS[1:]),
                 F.coalesce(F.col(MIX_FUELS[0]), F.lit(0.0)))
-    shares = means.select(*[F.struct(F.lit(f).alias("fuel"),
+    shares = means.select(*series, *[F.struct(F.lit(f).alias("fuel"),
                                      round_half_up(F.col(f), 2).alias("avg_mw"),
                                      round_half_up(safe_div(F.col(f), whole) * 100, 2)
                                      .alias("share_pct")).alias(f) for f in MIX_FUELS])
-    return shares.select(F.inline(F.array(*[F.col(f) for f in MIX_FUELS])))
+    return shares.select(*series, F.inline(F.array(*[F.col(f) for f in MIX_FUELS])))
 
 
 def price_kpis(snapshot: DataFrame) -> DataFrame:
     """Mean, maximum, minimum price and the number of spike hours."""
     p = F.col("energy_price")
-    return snapshot.filter(p.isNotNull()).agg(
+    return snapshot.filter(p.isNotNull()).groupBy(*config.series_of(snapshot)).agg(
         round_half_up(F.avg(p), 2).alias("avg_price"),
         round_half_up(F.max(p), 2).alias("max_price"),
         round_half_up(F.min(p), 2).alias("min_price"),
@@ -78,14 +81,14 @@ def price_kpis(snapshot: DataFrame) -> DataFrame:
 
 def price_by_hour(snapshot: DataFrame) -> DataFrame:
     p = F.col("energy_price")
-    return (snapshot.filter(p.isNotNull()).groupBy("hour")
+    return (snapshot.filter(p.isNotNull()).groupBy(*config.series_of(snapshot), "hour")
             .agg(round_half_up(F.avg(p), 2).alias("avg_price")))
 
 
 def price_series(snapshot: DataFrame) -> DataFrame:
     """Hourly price and temperature with plot time, hours with a price."""
     return snapshot.filter(F.col("energy_price").isNotNull()).select(
-        "date", "hour", "energy_price", "temperature_c",
+        *config.series_of(snapshot), "date", "hour", "energy_price", "temperature_c",
         hour_ending_ts("date", "hour").alias("ts"))
 
 
@@ -93,7 +96,9 @@ def price_temperature_sample(snapshot: DataFrame, n: int = config.PRICE_SAMPLE,
                              seed: int = 7) -> DataFrame:
     """At most ``n`` random hours that have price and temperature."""
     s = snapshot.filter(F.col("energy_price").isNotNull() & F.col("temperature_c").isNotNull())
-    return sample_n(s.select("date", "hour", "temperature_c", "energy_price"), n, seed)
+    series = config.series_of(snapshot)
+    return sample_n(s.select(*series, "date", "hour", "temperature_c", "energy_price"), n, seed,
+                    keys=[*series, *config.KEYS])
 
 
 def carbon_kpis(carbon_mart: DataFrame) -> DataFrame:
@@ -101,7 +106,7 @@ def carbon_kpis(carbon_mart: DataFrame) -> DataFrame:
     Very Clean (of all hours of the mart)."""
     c = F.col("carbon_intensity_gco2_kwh")
     very_clean = F.count_if(F.col("carbon_category") == config.VERY_CLEAN_LABEL)
-    return carbon_mart.agg(
+    return carbon_mart.groupBy(*config.series_of(carbon_mart)).agg(
         round_half_up(F.avg(c), 2).alias("avg_intensity"),
         round_half_up(F.min(c), 2).alias("min_intensity"),
         round_half_up(F.max(c), 2).alias("max_intensity"),
@@ -111,15 +116,16 @@ def carbon_kpis(carbon_mart: DataFrame) -> DataFrame:
 
 def carbon_hour_means(carbon_mart: DataFrame) -> DataFrame:
     """Mean intensity by hour of day over all hours of the mart."""
-    return (carbon_mart.groupBy("hour")
+    return (carbon_mart.groupBy(*config.series_of(carbon_mart), "hour")
             .agg(round_half_up(F.avg("carbon_intensity_gco2_kwh"), 2)
                  .alias("avg_carbon_intensity")))
 
 
 def carbon_gas_sample(carbon_mart: DataFrame, n: int = config.CARBON_SAMPLE,
                       seed: int = 7) -> DataFrame:
-    return sample_n(carbon_mart.select("date", "hour", "gas_mw", "carbon_intensity_gco2_kwh",
-                                       "season"), n, seed)
+    series = config.series_of(carbon_mart)
+    return sample_n(carbon_mart.select(*series, "date", "hour", "gas_mw", "carbon_intensity_gco2_kwh",
+                                       "season"), n, seed, keys=[*series, *config.KEYS])
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -151,8 +157,8 @@ class ReportCache:
     """Results of report SQL kept for ``ttl`` seconds per SQL text.
 
     The cached rows live on the executors (``DataFrame.cache``); the
-    driver keeps only the handle and its age.  An expired entry is
-    unpersisted and recomputed on the next request.
+    driver keeps only the handle and its age.  Every request frees all
+    entries that have expired, asked for or not.
     """
 
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame],
@@ -164,11 +170,10 @@ class ReportCache:
 
     def query(self, sql: str) -> DataFrame:
         now = self.clock()
-        hit = self._entries.get(sql)
-        if hit and now - hit[0] < self.ttl:
-            return hit[1]
-        if hit:
-            hit[1].unpersist()
+        for old in [k for k, (at, _) in self._entries.items() if now - at >= self.ttl]:
+            self._entries.pop(old)[1].unpersist()
+        if sql in self._entries:
+            return self._entries[sql][1]
         df = run_sql(self.spark, self.tables, sql).cache()
         self._entries[sql] = (now, df)
         return df

@@ -165,10 +165,11 @@ def renewable_penetration(snapshot: DataFrame, series: Sequence[str] | None = No
 
 
 def latest_grid_status(snapshot: DataFrame) -> DataFrame:
-    """All columns of the latest hour: a semi join with the top-1 key.
-    The top-1 side is one row by construction, so it is broadcast."""
-    top = latest(snapshot.select(*KEYS), 1)
-    return snapshot.join(F.broadcast(top), on=KEYS, how="left_semi")
+    """All columns of the latest hour (of each region): a semi join with the
+    latest key, one row per region."""
+    series = config.series_of(snapshot)
+    top = latest(snapshot.select(*series, *KEYS), 1, series=series)
+    return snapshot.join(top, on=[*series, *KEYS], how="left_semi")
 
 
 VIEW_NAMES = ("v_latest_grid_status", "v_daily_summary", "v_hourly_generation_mix",

@@ -25,6 +25,8 @@ EVENT_FUEL = (("click", "Nuclear"), ("view", "Hydro"), ("signup", "Wind"),
               ("purchase", "Solar"), ("error", "Gas"))
 DEMAND_DAYS = 40          # orders spread over 40 days
 GRID_DAYS = 30            # customers, parts and lineitems over 30 days
+RESERVE_EVENTS = (("total_10s", "click"), ("total_10n", "view"), ("total_30r", "signup"))
+REGIONS = 3               # regions of the regional feeds
 # --- end of fixed values ----------------------------------------------------
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -47,7 +49,7 @@ def _hour_of(key: str, days: int) -> Column:
     return F.expr(f"cast(({key} div {days}) % 24 + 1 as int)")
 
 
-def demand_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def demand_feed(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """Raw demand report rows: several per hour; the highest order key is
     the last published."""
     o = table(spark, sf_dir, "orders")
@@ -58,10 +60,11 @@ def demand_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("o_totalprice") / 15).alias("market_demand"),
         F.floor(F.col("o_totalprice") / 16).alias("region_demand"),
         k.alias("_row_id"),
+        *extra,
     )
 
 
-def generation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def generation_feed(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """Raw generation report rows (long form): one per event; the event
     type names the fuel, the value is the output."""
     e = table(spark, sf_dir, "events")
@@ -76,10 +79,11 @@ def generation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("output_mw"),
         F.col("ts").alias("_published_at"),
         F.col("event_id").alias("_row_id"),
+        *extra,
     )
 
 
-def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def price_feed(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     return c.select(
@@ -87,10 +91,11 @@ def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _hour_of("c_custkey", GRID_DAYS).alias("hour"),
         (F.col("c_acctbal") / 60).alias("energy_price"),
         k.alias("_row_id"),
+        *extra,
     )
 
 
-def weather_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_feed(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     return p.select(
@@ -101,13 +106,15 @@ def weather_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 101).cast("double").alias("humidity_pct"),
         (F.col("p_retailprice") % 60).alias("wind_speed_kmh"),
         k.alias("_row_id"),
+        *extra,
     )
 
 
 def realtime_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-minute totals: energy counts every event but purchases (so an
     interval of purchases only has zero energy); loss is 2% of the error
-    events.  Sums are exact in decimal(20,4), then doubles."""
+    events; each reserve is one event type.  Sums are exact in
+    decimal(20,4), then doubles."""
     e = table(spark, sf_dir, "events")
     v = F.col("value").cast("decimal(20,4)")
     energy = F.sum(F.when(F.col("event_type") == "purchase", F.lit(0).cast("decimal(20,4)"))
@@ -116,12 +123,15 @@ def realtime_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", v).otherwise(F.lit(0).cast("decimal(20,4)")))
     agg = (e.groupBy(F.to_date("ts").alias("date"), (F.hour("ts") + 1).alias("hour"),
                      (F.floor(F.minute("ts") / 5) + 1).cast("int").alias("interval"))
-           .agg(energy.alias("_e"), loss.alias("_l")))
+           .agg(energy.alias("_e"), loss.alias("_l"),
+                *[F.sum(F.when(F.col("event_type") == event, v).otherwise(F.lit(0).cast("decimal(20,4)"))).alias(c)
+                  for c, event in RESERVE_EVENTS]))
     return agg.select(
         "date", "hour", "interval",
         F.col("_e").cast("double").alias("total_energy"),
         F.col("_l").cast("double").alias("total_loss"),
         (F.col("_e") - F.col("_l")).cast("double").alias("total_load"),
+        *[F.col(c).cast("double").alias(c) for c, _ in RESERVE_EVENTS],
     )
 
 
@@ -158,5 +168,16 @@ FEEDS = {
 }
 
 
+# The column whose remainder by REGIONS names the region of a row.
+REGION_KEYS = {"demand": "o_custkey", "generation": "event_id", "prices": "c_nationkey", "weather": "p_partkey"}
+
+
+def regional(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A feed with a ``region`` column ('R0', 'R1', ...)."""
+    key = F.col(REGION_KEYS[name])
+    region = F.concat(F.lit("R"), (key % REGIONS).cast("string")).alias("region")
+    return FEEDS[name](spark, sf_dir, region)
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: feed(spark, sf_dir) for name, feed in FEEDS.items()}

@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 from typing import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,13 +51,18 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
 
     ``partition_by`` (e.g. year, month) lets readers prune; ``sort_by``
     orders rows within each file (by date, hour) so file statistics skip
-    row groups.  ``dynamic`` replaces only the partitions present in
-    ``df`` (an increment).  The count is observed during the write.
+    row groups.  Rows are dealt out by range of both before they are
+    written, so a directory gets its rows from a task or two and not from
+    every task, and the number of files grows with the data.  ``dynamic``
+    replaces only the partitions present in ``df`` (an increment).  The
+    count is observed during the write.
     """
     obs = Observation()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        df = df.repartitionByRange(*dict.fromkeys([*partition_by, *sort_by]))
     if sort_by:
-        observed = observed.sortWithinPartitions(*sort_by)
+        df = df.sortWithinPartitions(*dict.fromkeys([*partition_by, *sort_by]))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -73,11 +77,16 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> Dat
 
 
 def optional(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame | None:
-    """The table at ``path``, or None if it does not exist."""
-    try:
-        return read_table(spark, path, fmt)
-    except AnalysisException:
-        return None
+    """The table at ``path``, or None if nothing is there.  Any other
+    error of the read is raised."""
+    return read_table(spark, path, fmt) if exists(spark, path) else None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder (or a match of a glob) is at ``path``."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    return bool(found)
 
 
 def ingest(spark: SparkSession, raw_path: str, table_path: str,
@@ -86,14 +95,12 @@ def ingest(spark: SparkSession, raw_path: str, table_path: str,
     """Landed CSV to a bronze table, replacing it; lineage columns are
     dropped.  With no schema every cell is text (typing is silver's job).
     Returns the row count, or None when nothing is landed."""
+    if not exists(spark, raw_path):
+        return None
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
-    try:
-        df = reader.csv(raw_path)
-    except AnalysisException:
-        return None
-    df = drop_lineage(df)
+    df = drop_lineage(reader.csv(raw_path))
     if widen:
         df = widen_numeric(df)
     return write_table(df, table_path, fmt)

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..operators.dedupe import keep_last
+from .lake import exists
 
 # --- FIXED VALUES: report formats ---------------------------------------------
 BANNER_PREFIX = "\\"                      # banner lines start with a backslash
@@ -315,15 +316,7 @@ def read_weather_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """The paths or globs that exist (a metadata call each, on the driver, and
     no data read; name a folder or a glob where files are many)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        if fs.globStatus(hp):
-            out.append(p)
-    return out
+    return [p for p in paths if exists(spark, p)]
 
 
 def backfill(spark: SparkSession, reader, paths: Sequence[str],

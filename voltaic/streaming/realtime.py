@@ -8,49 +8,83 @@ window, so state is bounded and late rows are dropped.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import config
 from ..functions import pct, round_half_up
 from ..sources.reports import parse_realtime_text
 
 INTERVAL_KEYS = ("date", "hour", "interval")
 
 
-def _measures() -> list[Column]:
+RESERVES = {"total_10s": "reserve_10s_mw", "total_10n": "reserve_10n_mw", "total_30r": "reserve_30r_mw"}
+
+
+def _measures(columns: Sequence[str]) -> list[Column]:
+    mean = lambda c: round_half_up(F.avg(c), 2) if c in columns else F.lit(None).cast("double")
     return [
-        round_half_up(F.avg("total_energy"), 2).alias("energy_mw"),
-        round_half_up(F.avg("total_loss"), 2).alias("loss_mw"),
-        round_half_up(F.avg("total_load"), 2).alias("load_mw"),
+        mean("total_energy").alias("energy_mw"),
+        mean("total_loss").alias("loss_mw"),
+        mean("total_load").alias("load_mw"),
         pct(F.sum("total_loss"), F.sum("total_energy")).alias("loss_pct"),
+        *[mean(c).alias(name) for c, name in RESERVES.items()],
         F.count(F.lit(1)).alias("intervals"),
     ]
 
 
 def hourly_totals(realtime: DataFrame) -> DataFrame:
-    """5-minute totals to hourly mean energy, loss and load, loss percent
-    (of the hour's sums) and the number of intervals (batch form)."""
-    return realtime.groupBy("date", "hour").agg(*_measures())
+    """5-minute totals to hourly mean energy, loss, load and reserves, loss
+    percent (of the hour's sums) and the number of intervals (batch form),
+    per region where there is one.  A measure that the report lacks is NULL."""
+    return realtime.groupBy(*config.series_of(realtime), "date", "hour").agg(*_measures(realtime.columns))
+
+
+def snapshot_side(hourly: DataFrame) -> DataFrame:
+    """Hourly totals as the snapshot's fourth side: loss and reserves."""
+    return hourly.select(*config.series_of(hourly), "date", "hour", F.col("loss_mw").alias("total_loss_mw"), *RESERVES.values())
 
 
 def interval_start(date: str = "date", hour: str = "hour", interval: str = "interval") -> Column:
     """Event time of a 5-minute interval: hour-ending ``hour`` starts at
-    ``hour - 1``; interval n (1-12) starts (n - 1) * 5 minutes later."""
+    ``hour - 1``; interval n (1-12) starts (n - 1) * 5 minutes later.  Market
+    time without a zone, so clock changes of the session zone do not shift it."""
     minutes = (F.col(hour) - 1) * 60 + (F.col(interval) - 1) * 5
-    return (F.col(date).cast("timestamp")
+    return (F.col(date).cast("timestamp_ntz")
             + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int")))
 
 
 def realtime_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """K1: every report file that lands in ``folder`` as parsed 5-minute
-    rows (whole-text files, one per task), with event time ``ts``."""
+    rows (whole-text files, one per task), with event time ``ts``.  Rows
+    without a date are those of ``realtime_rejects``."""
+    return _parsed_stream(spark, folder, max_files).filter(F.col("date").isNotNull()).withColumn("ts", interval_start())
+
+
+def realtime_rejects(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """K1: rows of files without a readable date, with their file's path.
+    Write this stream beside the intake, so that no row vanishes."""
+    return _parsed_stream(spark, folder, max_files).filter(F.col("date").isNull())
+
+
+def _parsed_stream(spark: SparkSession, folder: str, max_files: int | None) -> DataFrame:
     reader = spark.readStream.format("text").option("wholetext", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     text = reader.load(folder).select("value", F.col("_metadata.file_path").alias("_published_at"))
-    rows = parse_realtime_text(text)
-    return rows.filter(F.col("date").isNotNull()).withColumn("ts", interval_start())
+    return parse_realtime_text(text)
+
+
+def start_intake(spark: SparkSession, folder: str, out: str, rejects: str, checkpoints: str,
+                 max_files: int | None = None, delay: str = "1 day") -> list[StreamingQuery]:
+    """K1 as two queries over one folder: deduplicated intervals to ``out``
+    and undated rows to ``rejects``, each with a checkpoint of its own."""
+    rows = dedupe_intervals(realtime_stream(spark, folder, max_files), delay)
+    return [start_to_table(rows, out, f"{checkpoints}/intake"),
+            start_to_table(realtime_rejects(spark, folder, max_files), rejects, f"{checkpoints}/rejects")]
 
 
 def dedupe_intervals(rows: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -68,10 +102,10 @@ def hourly_stream(rows: DataFrame, delay: str | None = "3 hours") -> DataFrame:
     w = F.window("ts", "1 hour")
     if delay is not None:
         rows = rows.withWatermark("ts", delay)
-    agg = rows.groupBy(w.alias("w")).agg(*_measures())
+    agg = rows.groupBy(w.alias("w")).agg(*_measures(rows.columns))
     start = F.col("w.start")
     return agg.select(F.to_date(start).alias("date"), (F.hour(start) + 1).alias("hour"),
-                      "energy_mw", "loss_mw", "load_mw", "loss_pct", "intervals")
+                      "energy_mw", "loss_mw", "load_mw", "loss_pct", *RESERVES.values(), "intervals")
 
 
 def start_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
