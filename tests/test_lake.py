@@ -1,12 +1,14 @@
 """Lake I/O and the layer runner on hand-made reports."""
 
 import tempfile
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from conftest import write
-from test_readers import DEMAND, GEN, INTERTIE, PRICE, REALTIME, WEATHER
-from voltaic.plans.runner import LayerConfig, run_layers
+from test_readers import DEMAND, GEN, INTERTIE, PRICE, REALTIME, REALTIME_NODATE, WEATHER
+from voltaic.plans import serving
+from voltaic.plans.runner import PUBLISHED, LayerConfig, run_layers
 from voltaic.sources import lake
 
 
@@ -54,6 +56,7 @@ def test_run_layers_end_to_end(spark):
     assert all(r.error is None for r in summary.values()), summary
     assert summary[("bronze", "demand")].rows == 3
     assert summary[("silver", "demand")].rows == 2
+    assert summary[("rejects", "demand")].rows == 0
     assert summary[("gold", "fct_hourly_grid_snapshot")].rows == 2
     snap = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
     hour1 = snap.filter("hour = 1").collect()[0]
@@ -96,3 +99,59 @@ def test_run_layers_isolates_a_failed_source(spark):
     assert summary[("gold", "fct_hourly_grid_snapshot")].rows == 2
     snap = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
     assert snap.filter("energy_price IS NOT NULL").count() == 0
+
+
+def test_a_second_run_takes_nothing_from_the_first(spark):
+    root = tempfile.mkdtemp(prefix="voltaic-run3-")
+    good = {"demand": [write(f"{root}/raw/demand.csv", DEMAND)], "prices": [write(f"{root}/raw/prices.csv", PRICE)]}
+    run_layers(spark, LayerConfig(f"{root}/lake", good)).collect()
+    assert spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot").filter("energy_price IS NOT NULL").count() == 1
+    bad = {**good, "prices": [write(f"{root}/raw/prices2.csv", "Date,Hour,Other\n2031-02-03,1,3\n")]}
+    summary = {(r.layer, r.table_name): r for r in run_layers(spark, LayerConfig(f"{root}/lake", bad)).collect()}
+    assert "ContractError" in summary[("bronze", "prices")].error and ("silver", "prices") not in summary
+    snap = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
+    assert snap.count() == 2 and snap.filter("energy_price IS NOT NULL").count() == 0
+
+
+def test_rejects_serving_and_publish(spark):
+    root = tempfile.mkdtemp(prefix="voltaic-run4-")
+    landed = {
+        "demand": [write(f"{root}/raw/demand.csv", DEMAND + "Total,,100,90\n")],
+        "generation": [write(f"{root}/raw/gen.xml", GEN)],
+        "realtime": [write(f"{root}/raw/rt/a.csv", REALTIME), write(f"{root}/raw/rt/b.csv", REALTIME_NODATE)],
+    }
+    cfg = LayerConfig(f"{root}/lake", landed, publish={}, publish_prefix="voltaic_run4_")
+    summary = {(r.layer, r.table_name): r for r in run_layers(spark, cfg).collect()}
+    assert all(r.error is None for r in summary.values()), summary
+    assert summary[("rejects", "demand")].rows == 1 and summary[("rejects", "realtime")].rows == 1
+    assert summary[("bronze", "demand")].rows == 3
+    assert {n for layer, n in summary if layer == "publish"} == set(PUBLISHED)
+    assert spark.table("voltaic_run4_mart_daily_summary").count() == 1
+    mix = spark.read.parquet(f"{root}/lake/serving/fct_daily_generation_mix")
+    types = dict(mix.dtypes)
+    assert (types["nuclear_mwh"], types["pct_nuclear"], types["peak_demand_mw"]) == ("decimal(12,1)", "decimal(6,4)", "int")
+    assert {n for layer, n in summary if layer == "serving"} == {*serving.DECLARED, *serving.VIEW_NAMES}
+    fact = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
+    assert "reserve_30r_mw" in fact.columns
+
+
+def test_few_files_per_month_whatever_the_tasks(spark):
+    root = tempfile.mkdtemp(prefix="voltaic-files-")
+    days = spark.range(0, 720, 1, 40).selectExpr("date_add(date'2031-01-01', cast(id as int)) AS date", "cast(id % 24 as int) AS hour")
+    df = days.selectExpr("*", "year(date) AS year", "month(date) AS month").repartition(40)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert lake.write_table(df, f"{root}/t", partition_by=["year", "month"], sort_by=["date", "hour"]) == 720
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    per_month = Counter(f.rpartition("/")[0] for f in spark.read.parquet(f"{root}/t").inputFiles())
+    assert len(per_month) == 24 and max(per_month.values()) <= 2
+
+
+def test_optional_raises_what_is_not_absence(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="voltaic-broken-")
+    write(f"{root}/t/part.parquet", "this is no parquet file")
+    with pytest.raises(Exception):
+        lake.optional(spark, f"{root}/t").count()

@@ -53,3 +53,26 @@ def test_region_windows_are_partitioned(spark):
     plan = serving.renewable_penetration(snap)._jdf.queryExecution().executedPlan().toString()
     # the rolling window is partitioned by region (and calendar bucket)
     assert "windowspecdefinition(region" in plan
+
+
+def test_panels_and_checks_keep_regions_apart(spark):
+    from voltaic.operators import quality as Q
+    from voltaic.operators.joins import missing_hours
+    from voltaic.plans import panels
+    a, b = _feeds(spark, "A"), _feeds(spark, "B", bump=7000)
+    snap = _snapshot({k: a[k].unionByName(b[k]) for k in a})
+    single = _snapshot(_feeds(spark, bump=7000))
+    daily, daily_one = G.mart_daily_summary(snap), G.mart_daily_summary(single)
+    carbon, carbon_one = G.carbon_mart(snap), G.carbon_mart(single)
+    for fn, many, one in [
+        (panels.latest_status, snap, single), (panels.recent_demand, snap, single), (panels.recent_generation, snap, single),
+        (panels.average_mix, snap, single), (panels.price_kpis, snap, single), (panels.price_by_hour, snap, single),
+        (panels.price_series, snap, single), (panels.last_days, daily, daily_one), (panels.carbon_kpis, carbon, carbon_one),
+        (panels.carbon_hour_means, carbon, carbon_one), (serving.latest_grid_status, snap, single),
+    ]:
+        got, want = fn(many), fn(one)
+        assert _rows(got.filter("region = 'B'").select(*want.columns)) == _rows(want), fn.__name__
+    hours = spark.createDataFrame([("A", 1, h) for h in range(1, 25)] + [("B", 1, 5)], "region string, d int, hour int")
+    hours = hours.selectExpr("region", "date'2031-02-03' AS date", "hour", "1 AS region_demand")
+    assert {(r.region, r.hour) for r in missing_hours(hours).collect()} == {("B", h) for h in range(1, 25) if h != 5}
+    assert Q.quality_demand(hours).first().duplicate_rows == 0

@@ -55,3 +55,36 @@ def test_hourly_stream_emits_closed_hours_only(spark):
     for h in (13, 14):
         assert out[h].energy_mw == expect[h].energy_mw
         assert out[h].intervals == expect[h].intervals
+
+
+def test_undated_rows_go_to_the_reject_table(spark):
+    folder = tempfile.mkdtemp(prefix="voltaic-k1r-")
+    _files(folder)
+    write(f"{folder}/in/rt_4.csv", "HOUR,INTERVAL,TOTAL ENERGY,TOTAL LOSS,TOTAL LOAD\n15,1,80,1,79\n")
+    for q in RT.start_intake(spark, f"{folder}/in", f"{folder}/out", f"{folder}/rejects", f"{folder}/ckpt"):
+        q.awaitTermination()
+    assert spark.read.parquet(f"{folder}/out").count() == 5
+    assert [(r.hour, r.total_energy) for r in spark.read.parquet(f"{folder}/rejects").collect()] == [(15, 80.0)]
+
+
+def test_event_time_ignores_clock_changes(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+    try:
+        rows = spark.createDataFrame([("2026-03-08", h, 1) for h in range(1, 25)], "d string, hour int, interval int")
+        rows = rows.selectExpr("cast(d as date) AS date", "hour", "interval").withColumn("ts", RT.interval_start())
+        date, hour = RT.market_hour(F.col("ts"))
+        got = rows.select(F.col("date") == date, hour).collect()
+        assert [tuple(r) for r in got] == [(True, h) for h in range(1, 25)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_batch_keeps_the_last_publication_of_an_interval(spark):
+    from voltaic.plans import silver as S
+    folder = tempfile.mkdtemp(prefix="voltaic-k2b-")
+    _files(folder)
+    write(f"{folder}/in/rt_9.csv", HEAD + "13,1,104,2,102\n")
+    out = {r.hour: r for r in RT.hourly_totals(S.realtime(R.read_realtime_report(spark, f"{folder}/in"))).collect()}
+    assert out[13].intervals == 3 and out[13].energy_mw == round((104 + 110 + 120) / 3, 2)
+    assert out[13].reserve_10s_mw is None

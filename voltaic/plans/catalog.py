@@ -33,19 +33,44 @@ def register(name: str, sql: str | None = None):
 # --- shared plans -------------------------------------------------------------
 #
 # A DataFrame is an immutable, lazy plan.  The snapshot plan that most
-# queries start from is built once per session and table folder and then
-# reused; every query still executes it in full from the files (nothing is
-# cached), but the driver does not analyse the same 40 operators again.
+# queries start from is built once per catalog and then reused; every query
+# still executes it in full from the files (nothing is cached), but the
+# driver does not analyse the same 40 operators again.
 
-_PLANS: dict[tuple, DataFrame] = {}
+class Catalog:
+    """The named queries over one folder, with the plans they share.
+
+    Plans hold the file list of the moment they were built, so a catalog sees
+    the folder as it was; make a new one to see files that came later."""
+
+    _current: dict[tuple[str, str], Catalog] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self.plans: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Catalog:
+        """The catalog that ``QUERIES`` use for this session and folder."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in cls._current:
+            cls._current[key] = cls(spark, sf_dir)
+        return cls._current[key]
+
+    def use(self) -> Catalog:
+        """Let ``QUERIES`` over this folder use this catalog from now on."""
+        self._current[self.spark.sparkContext.applicationId, self.sf_dir] = self
+        return self
+
+    def query(self, name: str) -> DataFrame:
+        return QUERIES[name](self.use().spark, self.sf_dir)
 
 
 def _shared(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    df = _PLANS.get(key)
-    if df is None:
-        df = _PLANS[key] = build()
-    return df
+    plans = Catalog.of(spark, sf_dir).plans
+    if name not in plans:
+        plans[name] = build()
+    return plans[name]
 
 
 def silver_demand(spark: SparkSession, sf_dir: str) -> DataFrame:

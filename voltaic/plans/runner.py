@@ -1,9 +1,15 @@
-"""Run the layers in order (X4): landed reports -> bronze -> silver -> gold.
+"""Run the layers in order (X4): landed reports -> bronze -> silver -> gold
+-> serving, and publish.
 
 One failed source does not stop the others; the result is a small frame
 with one row per (layer, table): rows written, or the error.  Each layer
-reads the tables the previous one wrote, so lineage is cut at every
-layer (a written table on shared storage, not a local checkpoint).
+reads the tables that this run wrote in the layer before, so lineage is
+cut at every layer (a written table on shared storage, not a local
+checkpoint) and no table of an earlier run enters a new one: a source that
+failed now is absent, and the summary says so.  The hourly fact is
+computed once; marts and views read it back.
+
+Rows whose report date cannot be read go to ``rejects/<source>``.
 """
 
 from __future__ import annotations
@@ -15,7 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import require_contract
 from ..sources import lake, reports
+from ..streaming.realtime import hourly_totals, snapshot_side
 from . import gold as G
+from . import serving as V
 from . import silver as S
 
 READERS: dict[str, Callable[[SparkSession, list[str]], DataFrame]] = {
@@ -36,32 +44,51 @@ CONTRACTS = {
     "weather": ("date", "hour", "temperature_c"),
 }
 
-# How each silver table is laid out on write: partitions for pruning by
-# period, sort within files for statistics on the hour key.
-PARTITIONS = {"demand": ("year", "month"), "prices": ("year", "month"),
-              "weather": ("year", "month"), "intertie": ("year", "month"),
-              "generation": ("year", "month")}
+# How a table is laid out on write: partitions for pruning by period (where
+# it has the columns), sort within files for statistics on the key.
+PARTITIONS = ("year", "month")
+SORT = ("date", "hour")
+
+# Gold tables that are published to the serving database.
+PUBLISHED = ("dim_date", "dim_fuel_type", "fct_hourly_grid_snapshot", "mart_daily_summary",
+             "mart_carbon_intensity")
 
 
 @dataclass
 class LayerConfig:
+    """``publish``: target of ``lake.publish`` (None: nothing is published);
+    ``publish_prefix`` leads published table names, such as a schema."""
+
     lake_root: str
     landed: Mapping[str, list[str]] = field(default_factory=dict)
     fmt: str = lake.DEFAULT_FORMAT
+    publish: Mapping[str, str] | None = None
+    publish_prefix: str = ""
 
 
-def _try(results: list, layer: str, table: str, fn) -> None:
+def _try(results: list, layer: str, table: str, fn) -> bool:
+    """Run one step; whether it wrote its table."""
     try:
         rows = fn()
         results.append((layer, table, rows, None if rows is not None else "no input"))
+        return rows is not None
     except Exception as exc:  # one failed table does not stop the rest
-        results.append((layer, table, None, f"{type(exc).__name__}: {str(exc)[:300]}"))
+        results.append((layer, table, None, f"{type(exc).__name__}: {exc}"))
+        return False
+
+
+def _write(df: DataFrame, path: str, fmt: str) -> int:
+    parts = [c for c in PARTITIONS if c in df.columns] if "date" in df.columns else []
+    return lake.write_table(df, path, fmt, partition_by=parts if len(parts) == len(PARTITIONS) else (),
+                            sort_by=[c for c in SORT if c in df.columns])
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
     root = cfg.lake_root.rstrip("/")
     results: list = []
+    read = lambda layer, name: lake.read_table(spark, f"{root}/{layer}/{name}", cfg.fmt)
 
+    bronze_now = []
     for name, reader in READERS.items():
         paths = cfg.landed.get(name)
         if not paths:
@@ -71,33 +98,53 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
             present = reports.existing_paths(spark, paths)
             if not present:
                 return None
-            df = reader(spark, present)
+            good, bad = reports.split_rejects(reader(spark, present))
             if name in CONTRACTS:
-                require_contract(df, CONTRACTS[name], name)
-            return lake.write_table(df, f"{root}/bronze/{name}", cfg.fmt)
-        _try(results, "bronze", name, bronze)
-
-    silver_tables: dict[str, DataFrame] = {}
-    for name, transform in S.TRANSFORMS.items():
-        src = lake.optional(spark, f"{root}/bronze/{name}", cfg.fmt)
-        if src is None:
-            continue
-
-        def silver(name=name, transform=transform, src=src):
-            out = transform(src)
-            parts = [c for c in PARTITIONS.get(name, ()) if c in out.columns]
-            return lake.write_table(out, f"{root}/silver/{name}", cfg.fmt,
-                                    partition_by=parts, sort_by=("date", "hour"))
-        _try(results, "silver", name, silver)
-        written = lake.optional(spark, f"{root}/silver/{name}", cfg.fmt)
-        if written is not None:
-            silver_tables[name] = written
-
-    if "demand" in silver_tables:
-        tables = G.gold(silver_tables, spark=spark)
-        for name, df in tables.items():
-            _try(results, "gold", name,
-                 lambda df=df, name=name: lake.write_table(df, f"{root}/gold/{name}", cfg.fmt))
-
-    return spark.createDataFrame(results, "layer string, table_name string, rows long, "
-                                          "error string")
+                require_contract(good, CONTRACTS[name], name)
+            rows = lake.write_table(good, f"{root}/bronze/{name}", cfg.fmt)
+            _try(results, "rejects", name, lambda: lake.write_table(bad, f"{root}/rejects/{name}", cfg.fmt))
+            return rows
+        if _try(results, "bronze", name, bronze):
+            bronze_now.append(name)
+
+    silver_now: dict[str, DataFrame] = {}
+    for name in bronze_now:
+        write = lambda name=name: _write(S.TRANSFORMS[name](read("bronze", name)), f"{root}/silver/{name}", cfg.fmt)
+        if _try(results, "silver", name, write):
+            silver_now[name] = read("silver", name)
+
+    if "demand" not in silver_now:
+        return _summary(spark, results)
+    gold_now: list[str] = []
+
+    def gold(name: str, build: Callable[[], DataFrame]) -> bool:
+        done = _try(results, "gold", name, lambda: _write(build(), f"{root}/gold/{name}", cfg.fmt))
+        if done:
+            gold_now.append(name)
+        return done
+
+    gold("dim_date", lambda: G.dim_date(silver_now["demand"]))
+    gold("dim_fuel_type", lambda: G.dim_fuel_type(spark))
+    if gold("fct_hourly_grid_snapshot", lambda: _fact(silver_now)):
+        fact = read("gold", "fct_hourly_grid_snapshot")
+        gold("mart_daily_summary", lambda: G.mart_daily_summary(fact))
+        gold("mart_carbon_intensity", lambda: G.carbon_mart(fact))
+        for name, build in V.serving_tables(fact, silver_now.get("dayahead")).items():
+            _try(results, "serving", name, lambda build=build, name=name: _write(build(), f"{root}/serving/{name}", cfg.fmt))
+    if cfg.publish is not None:
+        for name in [n for n in PUBLISHED if n in gold_now]:
+            def publish(name=name):
+                lake.publish(read("gold", name), cfg.publish_prefix + name, cfg.publish)
+                return next(rows for layer, table, rows, _ in results if (layer, table) == ("gold", name))
+            _try(results, "publish", name, publish)
+    return _summary(spark, results)
+
+
+def _fact(silver: Mapping[str, DataFrame]) -> DataFrame:
+    realtime = silver.get("realtime")
+    side = snapshot_side(hourly_totals(realtime)) if realtime is not None else None
+    return G.hourly_snapshot(silver["demand"], silver.get("generation"), silver.get("prices"), silver.get("weather"), realtime=side)
+
+
+def _summary(spark: SparkSession, results: list) -> DataFrame:
+    return spark.createDataFrame(results, "layer string, table_name string, rows long, error string")

@@ -8,7 +8,7 @@ derive from MW.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,3 +194,34 @@ def register_views(snapshot: DataFrame, dayahead: DataFrame) -> list[str]:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return list(views)
+
+
+# FIXED VALUES: declared decimal types of the serving tables, by the shape of
+# the column name (first match) -- energy and power, prices, shares, weather.
+SERVING_TYPES = (
+    ("_mwh", "decimal(12,1)"), ("_mw", "decimal(10,1)"), ("price", "decimal(10,2)"), ("spread", "decimal(10,2)"),
+    ("carbon_intensity", "decimal(8,2)"), ("_contribution", "decimal(8,2)"), ("pct_", "decimal(6,4)"),
+)
+DECLARED = ("fct_daily_generation_mix", "fct_price_spreads", "fct_carbon_intensity", "mart_renewable_penetration")
+
+
+def declared_types(df: DataFrame) -> DataFrame:
+    """Double columns as the decimals that the serving tables declare."""
+    kind = lambda c: next((t for part, t in SERVING_TYPES if part in c), None)
+    return df.select(*[F.col(c).cast(kind(c)).alias(c) if t == "double" and kind(c) else F.col(c) for c, t in df.dtypes])
+
+
+def serving_tables(fact: DataFrame, dayahead: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of everything the serving layer holds: the declared marts with
+    their decimal types, and the six views.  Without a day-ahead feed the
+    tables that need one have NULL there."""
+    if dayahead is None:
+        dayahead = fact.select(*config.series_of(fact), *KEYS, F.lit(None).cast("double").alias("da_price")).limit(0)
+    marts = {
+        "fct_daily_generation_mix": lambda: daily_generation_mix(fact),
+        "fct_price_spreads": lambda: price_spreads(fact, dayahead),
+        "fct_carbon_intensity": lambda: carbon_contribution(fact),
+        "mart_renewable_penetration": lambda: renewable_penetration(fact),
+    }
+    views = {name: (lambda df=df: df) for name, df in named_views(fact, dayahead).items()}
+    return {**{n: (lambda b=b: declared_types(b())) for n, b in marts.items()}, **views}

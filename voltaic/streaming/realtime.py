@@ -50,11 +50,20 @@ def snapshot_side(hourly: DataFrame) -> DataFrame:
 
 def interval_start(date: str = "date", hour: str = "hour", interval: str = "interval") -> Column:
     """Event time of a 5-minute interval: hour-ending ``hour`` starts at
-    ``hour - 1``; interval n (1-12) starts (n - 1) * 5 minutes later.  Market
-    time without a zone, so clock changes of the session zone do not shift it."""
+    ``hour - 1``; interval n (1-12) starts (n - 1) * 5 minutes later.
+
+    The market clock is read as if it were UTC (watermarks need an instant),
+    and ``market_hour`` reads it back the same way, so clock changes of the
+    session's zone shift nothing."""
     minutes = (F.col(hour) - 1) * 60 + (F.col(interval) - 1) * 5
-    return (F.col(date).cast("timestamp_ntz")
-            + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int")))
+    return F.timestamp_seconds(F.unix_date(date).cast("bigint") * 86400 + minutes.cast("bigint") * 60)
+
+
+def market_hour(ts: Column) -> tuple[Column, Column]:
+    """Date and hour-ending hour of an event time made by ``interval_start``."""
+    seconds = F.unix_seconds(ts)
+    return (F.date_from_unix_date(F.floor(seconds / 86400).cast("int")),
+            (F.floor(F.pmod(seconds, F.lit(86400)) / 3600) + 1).cast("int"))
 
 
 def realtime_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -103,8 +112,8 @@ def hourly_stream(rows: DataFrame, delay: str | None = "3 hours") -> DataFrame:
     if delay is not None:
         rows = rows.withWatermark("ts", delay)
     agg = rows.groupBy(w.alias("w")).agg(*_measures(rows.columns))
-    start = F.col("w.start")
-    return agg.select(F.to_date(start).alias("date"), (F.hour(start) + 1).alias("hour"),
+    date, hour = market_hour(F.col("w.start"))
+    return agg.select(date.alias("date"), hour.alias("hour"),
                       "energy_mw", "loss_mw", "load_mw", "loss_pct", *RESERVES.values(), "intervals")
 
 
