@@ -69,6 +69,14 @@ PEAK_HOURS = (7, 19)
 # Hour-ending convention.
 HOURS = (1, 24)
 
+# Columns of the carbon mart beside the key and the intensity, grouping columns
+# of the daily mart, and the measures whose daily mean is named avg_<measure>.
+CARBON_MART_COLUMNS = ("total_generation_mw", "gas_mw", "nuclear_mw", "hydro_mw", "wind_mw",
+                       "solar_mw", "clean_energy_pct", "season", "is_peak_hour",
+                       "temperature_c")
+DAILY_GROUP = ("date", "season", "is_weekday", "day_name", "year", "month")
+DAILY_MEAN_COLUMNS = ("nuclear_mw", "gas_mw", "hydro_mw", "wind_mw", "solar_mw")
+
 # Quality bounds.
 DEMAND_MIN = 0
 DEMAND_MAX = 35000
