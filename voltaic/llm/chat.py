@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from voltaic.llm.common import chunks
+
 #: The template's control strings and the escape character.
 OPEN, BETWEEN, CLOSE, ESCAPE = "### ", ": ", "</turn>\n", "\\"
 #: The role whose text is under the loss mask.
@@ -114,7 +116,7 @@ def format_log(events: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
         now, message, own, turns = None, None, [], []
 
         def rows():
-            for batch in batches:
+            for batch in chunks(batches, "text"):
                 yield from zip(*[c.to_pylist() for c in batch.columns])
 
         def close():
@@ -194,7 +196,7 @@ def read_back(formatted: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
 
     def rows(batches):
         now, some = None, False
-        for batch in batches:
+        for batch in chunks(batches, "formatted"):
             for c, text, spans in zip(*[x.to_pylist() for x in batch.columns]):
                 if not some or c != now:
                     if some:
