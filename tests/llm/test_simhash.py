@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -76,6 +77,25 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 200: 200, 201: 200, 202: 200}
 
 
+@pytest.mark.parametrize("words", [2, 4, 8])
+def test_tile_neighbours(words):
+    """Fingerprints within the radius are in equal or neighbouring tiles."""
+    bits = 64 // words
+    base = bits + 1 + 4
+    tile = lambda x: sum(((x >> bits * i & (1 << bits) - 1).bit_count() + 2) * base**i for i in range(words))
+    off = set(simhash._offsets(2, words))
+    rng = np.random.default_rng(words)
+    for x in [0, 2**64 - 1, *map(int, rng.integers(0, 2**63, 300))]:
+        for a, b in rng.integers(0, 64, (5, 2)).tolist():
+            y = x ^ 1 << a ^ 1 << b
+            assert tile(x) - tile(y) in off or tile(y) - tile(x) in off
+
+
+def test_finer_tiles_give_the_same_groups(spark):
+    docs = read(spark, SF, "documents")
+    assert sorted(simhash.simhash_groups(docs, words=8).collect()) == sorted(simhash.simhash_groups(docs).collect())
+
+
 def test_equals_brute_force_on_a_whole_table(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 3)
     docs = read(spark, SF, "documents").toPandas()[["doc_id", "text"]]
