@@ -97,16 +97,17 @@ def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text
     slim = slim.withColumn("__h", F.xxhash64("__t"))
     spans = slim.select("__k", "__h", F.explode(_chunks(F.col("__t"), divisor, window)).alias("c"))
     spans = cut(spans.select("__k", "__h", "c.start", "c.n", "c.hash"))
-    repeated = spans.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash")
-    candidates = (
-        spans.join(repeated, "hash", "left_semi").groupBy("__k", "__h").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-    )
+    # Cut, so that each join below has an exchange of its own on either side,
+    # which the adaptive skew join can split at a hot chunk.
+    repeated = cut(spans.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash"))
+    candidates = spans.join(repeated, "hash", "left_semi")
+    candidates = candidates.groupBy("__k", "__h").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
     same = lambda a, b: a["__k"].eqNullSafe(b["__k"]) & (a["__h"] == b["__h"])
     found = slim.join(candidates, same(slim, candidates)).select(
         slim["__k"], slim["__h"], let(_lines(F.col("__t")), lambda lines: F.transform("spans", lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"), F.array_join(F.slice(lines, c["start"] + 1, c["n"]), "\n").alias("chunk")))).alias("spans")
     )
     found = written(found.select("__k", "__h", F.inline("spans")))
-    first = found.groupBy("chunk").agg(F.min(F.struct("__k", "__h", "start")).alias("first"))
+    first = written(found.groupBy("chunk").agg(F.min(F.struct("__k", "__h", "start")).alias("first")))
     later = found.join(first, "chunk").where(~F.struct("__k", "__h", "start").eqNullSafe(F.col("first")))
     drops = cut(later.groupBy("__k", "__h").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("__drops")))
     keyed = docs.withColumn("__h", F.xxhash64(F.col(f"`{text}`")))
