@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaic.llm import decontaminate, linechunks, quality, queries, simhash
-from voltaic.llm.common import read, written
+from voltaic.llm.common import Scratch, read
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +61,11 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; a table in the shared folder between
     stages cuts lineage."""
+    scratch = Scratch(spark)
     docs = read(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs if i == 0 else written(docs), sf_dir)
+        if i:
+            docs = scratch.table(docs)
+            scratch.remove(keep=1)
+        docs = stage(spark, docs, sf_dir)
     return docs

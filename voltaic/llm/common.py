@@ -50,11 +50,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cut lineage with a Parquet table in the shared folder, for wide rows."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+class Scratch:
+    """Parquet tables in the shared folder, for wide rows, that cut lineage.
+
+    ``remove`` deletes those that nothing reads any more; what a returned
+    DataFrame still reads stays until the folder is cleaned.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tables = spark, []
+
+    def table(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.tables.append(path)
+        return self.spark.read.parquet(path)
+
+    def remove(self, keep: int = 0) -> None:
+        """Delete the tables, but for the ``keep`` last written."""
+        old, self.tables = self.tables[: len(self.tables) - keep], self.tables[len(self.tables) - keep :]
+        for path in old:
+            target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:

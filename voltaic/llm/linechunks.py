@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import cut, written
+from voltaic.llm.common import Scratch, cut
 
 #: Lines that the rolling hash covers, its multiplier, and the mean chunk length.
 WINDOW = 3
@@ -106,10 +106,12 @@ def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text
     found = slim.join(candidates, same(slim, candidates)).select(
         slim["__k"], slim["__h"], let(_lines(F.col("__t")), lambda lines: F.transform("spans", lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"), F.array_join(F.slice(lines, c["start"] + 1, c["n"]), "\n").alias("chunk")))).alias("spans")
     )
-    found = written(found.select("__k", "__h", F.inline("spans")))
-    first = written(found.groupBy("chunk").agg(F.min(F.struct("__k", "__h", "start")).alias("first")))
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.table(found.select("__k", "__h", F.inline("spans")))
+    first = scratch.table(found.groupBy("chunk").agg(F.min(F.struct("__k", "__h", "start")).alias("first")))
     later = found.join(first, "chunk").where(~F.struct("__k", "__h", "start").eqNullSafe(F.col("first")))
     drops = cut(later.groupBy("__k", "__h").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("__drops")))
+    scratch.remove()
     keyed = docs.withColumn("__h", F.xxhash64(F.col(f"`{text}`")))
     joined = keyed.join(drops, keyed[key].eqNullSafe(drops["__k"]) & (keyed["__h"] == drops["__h"]), "left")
     cleaned = F.when(F.col("__drops").isNull(), F.col(f"`{text}`")).otherwise(_without(F.col(f"`{text}`"), F.col("__drops")))
