@@ -196,7 +196,9 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     linked = first.join(roots, "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("component"))
     linked = linked.join(smallest, "root").select("fp", "component")
-    known = first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
+    # Cut, so that the join with all documents has an exchange of its own on
+    # either side, which the adaptive skew join can split at a hot fingerprint.
+    known = cut(first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id")))
     return fps.join(known, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
