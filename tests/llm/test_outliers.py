@@ -88,3 +88,25 @@ def test_edge_rows(spark):
     assert len(some) == 6 and some.kept.sum() == 3
     assert O.judge(docs.limit(0)).count() == 0
     assert pd.isna(got.distance).all()
+
+
+def test_a_groups_own_estimate_rejects(spark):
+    """A word length that is common in one source is an outlier in another."""
+    rng = np.random.default_rng(4)
+
+    def body(mean):
+        return " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(mean - 1, mean + 2))) for _ in range(200))
+
+    rows = [(i, body(4 + i % 2), "en", "ab"[i % 2]) for i in range(400)]
+    rows += [(1000, body(5), "en", "a"), (1001, body(5), "en", "b"), (1002, body(4), "en", "b"), (1003, body(4), "en", "a")]
+    got = O.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).toPandas().set_index("doc_id")
+    assert not got.base_failed.any()
+    assert [bool(got.kept[k]) for k in (1000, 1001, 1002, 1003)] == [False, True, False, True]
+    assert got.kept[got.index < 1000].mean() > 0.99
+
+
+def test_floor_units(spark):
+    rows = spark.createDataFrame([(float(i), float(i == 0), 0.0, 2.0 * i) for i in range(101)], "x0 double, x1 double, x2 double, x3 double")
+    units = O.floor_units(rows, 0.01)
+    assert np.allclose(units, [5 / 1.349, 1, 1, 10 / 1.349])
+    assert O.floor_units(rows.limit(0)) == [1.0] * 4

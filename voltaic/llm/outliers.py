@@ -12,6 +12,12 @@ concentration steps, the block estimates are averaged, and full concentration
 steps over all rows of the group refine the average. So no group, however
 large, meets in one task, and every row takes part.
 
+Estimates add the unit matrix to a covariance. ``judge`` first puts every axis
+in units in which that floor is ``RIDGE`` of the axis's robust variance over
+all rows, so a group's own covariance sets the distance. An axis without
+robust variance (most texts have no symbols or repeats) keeps the unit of
+``transformed``, and the floor is its spread.
+
 A group of fewer than ``MIN_GROUP`` rows uses the estimate of its language,
 and a language of fewer rows the estimate of all rows.
 """
@@ -39,6 +45,8 @@ SUPPORT = 0.75
 BLOCK = 2000
 MIN_GROUP = 100
 STEPS = 2
+#: Share of an axis's robust variance over all rows that the unit floor is.
+RIDGE = 0.01
 #: Chi-square quantile beyond which a vector is an outlier.
 CUTOFF = 0.9999
 DIM = 4
@@ -223,6 +231,14 @@ def estimates(rows: DataFrame, min_group: int = MIN_GROUP, block: int = BLOCK, s
     return now
 
 
+def floor_units(rows: DataFrame, ridge: float = RIDGE) -> list[float]:
+    """Unit of each axis in which the unit floor is ``ridge`` of its robust
+    variance (by quartiles); 1 where the quartiles are equal or no row exists."""
+    found = rows.agg(*[F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10000)).alias(x) for x in _X]).first()
+    spreads = [(found[x][1] - found[x][0]) / 1.349 if found[x] else 0.0 for x in _X]
+    return [math.sqrt(ridge) * s if s > 0 else 1.0 for s in spreads]
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
     """Counts and verdict of every text.
 
@@ -239,6 +255,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     keyed = docs.select(F.col(f"`{key}`").alias("__key"), F.array(*_levels(lang, source)).alias("__levels"), F.col(f"`{text}`").alias("__body"))
     stats = document_counts(keyed, ["__key", "__levels"], "__body")
     stats = cut(stats.select("*", failed.alias("failed"), *[t.alias(x) for t, x in zip(transformed(), _X)]))
+    units = floor_units(stats.where(~F.col("failed")))
+    stats = stats.withColumns({x: F.col(x) / u for x, u in zip(_X, units)})
     rows = stats.where(~F.col("failed")).select(F.col("__levels").alias("levels"), F.col("__key").alias("id"), *_X)
     estimate = estimates(rows, min_group)
     # Which estimate each group of the finest level uses; one row per group.
