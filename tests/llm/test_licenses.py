@@ -84,3 +84,17 @@ def test_frame_edges(spark):
     assert sorted((r.doc_id, r.license, r.start, r.end) for r in L.scan(docs).where("doc_id = 1").collect()) == [(1, "MIT notice", 0, 30)] * 2
     assert L.scan(docs).count() == 3
     assert L.scan(docs.limit(0)).count() == 0
+
+
+def test_variants_and_cut_texts():
+    """A license is reported as itself, with its disclaimer; a cut one as an opening."""
+    for name, first, last in (("MIT", "Permission", "SOFTWARE"), ("BSD-2-Clause", "Redistribution", "DAMAGE"), ("BSD-3-Clause", "Redistribution", "DAMAGE"), ("ISC", "Permission", "SOFTWARE"), ("Unlicense", "This", "org")):
+        text = "lead words here. " + L.TEMPLATES[name] + " tail words"
+        (m,) = INDEX.scan(text)
+        assert INDEX.names[m.template] == name and m.coverage == 1
+        assert text[m.start :].startswith(first) and text[: m.end].endswith(last)
+        cut = L.TEMPLATES[name].split(" THE SOFTWARE IS")[0].split(" THIS SOFTWARE IS")[0]
+        if name != "Unlicense":
+            assert [INDEX.names[m.template] for m in INDEX.scan(cut)] == [name + " opening"]
+    for name in ("GPL-2.0 header", "GPL-3.0 header", "LGPL-2.1 header", "LGPL-3.0 header", "AGPL-3.0 header", "CC0-1.0 notice"):
+        assert [INDEX.names[m.template] for m in INDEX.scan(L.TEMPLATES[name])] == [name]

@@ -20,7 +20,63 @@ from pyspark.sql import DataFrame
 
 from voltaic.llm.common import chunks
 
-#: Short notices and the openings of common public licenses.
+#: Parts that several templates share.
+_BSD_TWO = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+_BSD_THIRD = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission."
+)
+_BSD_DISCLAIMER = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+    "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+    "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ISC_OPENING = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+    "the above copyright notice and this permission notice appear in all copies."
+)
+_ISC_DISCLAIMER = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+    "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_MIT_OPENING = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+    '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
+    "the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+    "of the Software."
+)
+_MIT_DISCLAIMER = (
+    ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+    "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+
+
+def _gnu(kind: str, version: str, thing: str = "program", mark: str = ":") -> str:
+    """Header that the GNU licenses ask for."""
+    own = f"GNU {kind}General Public License"
+    return (
+        f"This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the {own} as published by the Free "
+        f"Software Foundation, either version {version} of the License, or (at your option) any later version. This {thing} is distributed in "
+        "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        f"PARTICULAR PURPOSE. See the {own} for more details."
+    )
+
+
+#: Short notices, whole short licenses, their openings (without
+#: the disclaimer), and the headers of long licenses.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -29,38 +85,50 @@ TEMPLATES = {
         'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
         "either express or implied. See the License for the specific language governing permissions and limitations under the License."
     ),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution."
-    ),
+    "AGPL-3.0 header": _gnu("Affero ", "3"),
+    "BSD-2-Clause": _BSD_TWO + _BSD_DISCLAIMER,
+    "BSD-2-Clause opening": _BSD_TWO,
+    "BSD-3-Clause": _BSD_TWO + _BSD_THIRD + _BSD_DISCLAIMER,
+    "BSD-3-Clause opening": _BSD_TWO + _BSD_THIRD,
     "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0 notice": "Licensed under CC BY-SA 4.0.",
-    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0 header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in "
-        "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
-        "PARTICULAR PURPOSE. See the GNU General Public License for more details."
-    ),
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
-        "the above copyright notice and this permission notice appear in all copies."
+    "CC0-1.0 notice": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to "
+        "the public domain worldwide. This software is distributed without any warranty. You should have received a copy of the CC0 Public "
+        "Domain Dedication along with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>."
     ),
+    "GPL-2.0 header": _gnu("", "2", mark=";"),
+    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0 header": _gnu("", "3"),
+    "ISC": _ISC_OPENING + _ISC_DISCLAIMER,
+    "ISC opening": _ISC_OPENING,
+    "LGPL-2.1 header": _gnu("Lesser ", "2.1", "library", ";"),
+    "LGPL-3.0 header": _gnu("Lesser ", "3"),
     "MIT notice": "Released under the MIT License.",
-    "MIT": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
-        '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
-        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
-        "the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions "
-        "of the Software."
-    ),
+    "MIT": _MIT_OPENING + _MIT_DISCLAIMER,
+    "MIT opening": _MIT_OPENING,
     "MPL-2.0 header": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
         "file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+        "means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in "
+        "the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and "
+        "successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        "software under copyright law."
+        + _MIT_DISCLAIMER.replace(" AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE", " AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE")
+        + " For more information, please refer to <http://unlicense.org/>"
+    ),
+}
+#: Templates with much text in common; of overlapping matches only the best fit counts.
+FAMILIES = {
+    **{n: "BSD" for n in TEMPLATES if n.startswith("BSD")},
+    **{n: "GNU" for n in TEMPLATES if n.endswith("GPL-3.0 header") or n in ("GPL-2.0 header", "LGPL-2.1 header")},
+    **{n: "ISC" for n in ("ISC", "ISC opening")},
+    **{n: "MIT" for n in ("MIT", "MIT opening", "Unlicense")},
 }
 
 GRAM = 3
@@ -175,7 +243,9 @@ class Index:
         """Matches in a whole text, in order; spans are code points of the text.
 
         Of overlapping matches of one template the best stays: most words
-        matched, then first.
+        matched, then first. A match goes if another of its family overlaps it
+        and fits better: matched words, less the unmatched words of template
+        or span, whichever are more. Equal fits all stay.
         """
         text = text or ""
         get = self.vocabulary.get
@@ -196,6 +266,9 @@ class Index:
         for k, a, b, n in sorted(found, key=lambda x: (x[0], -x[3], x[1], x[2])):
             if not any(k == k2 and a < b2 and a2 < b for k2, a2, b2, _ in kept):
                 kept.append((k, a, b, n))
+        family = lambda k: FAMILIES.get(self.names[k], self.names[k])
+        fit = lambda k, a, b, n: 2 * n - max(len(self.words[k]), b - a)
+        kept = [x for x in kept if not any(family(x[0]) == family(y[0]) and x[1] < y[2] and y[1] < x[2] and fit(*x) < fit(*y) for y in kept)]
         if not kept:
             return []
         wanted = {x for _, a, b, _ in kept for x in (a, b - 1)}
