@@ -32,12 +32,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return simhash.keep_one(docs, simhash.simhash_groups(docs))
+    return simhash.keep_one(docs, simhash.simhash_groups(docs, detail=True))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ``benchmark``."""
-    return decontaminate.drop_contaminated(docs, decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark")))
+    return decontaminate.drop_contaminated(docs, decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark"), detail=True))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,3 +72,23 @@ def test_registered():
     assert set(QUERIES) < set(queries) and queries["pipeline"] is P.run
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
+
+
+def test_null_and_repeated_ids_stay_apart(spark):
+    """Documents with NULL or repeated ids are judged by their own texts."""
+    stages = dict(P.STAGES)
+    leak = read(spark, SF, "benchmark").orderBy("item_id").first().text
+    a, b, c = ("one two three four five six", "red green blue black white pink", "north south east west up down")
+    data = [(None, a), (None, b), (None, b), (1, a + " x y z"), (1, c), (2, c), (3, "q " * 9), (3, "q " * 9), (4, leak), (4, b + " seven"), (None, leak + " and more")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in data], "doc_id long, text string, lang string, source string, n_chars int")
+    groups = groups_of(list(range(len(data))), [plain_fingerprint(t) for _, t in data])
+    want = {}
+    for (k, t), g in zip(data, groups):
+        want.setdefault(g, []).append((k is None, k or 0, t))
+    out = stages["simhash_dedup"](spark, docs, SF)
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in out.collect()))
+    assert len(got) == len(want) == len(set(groups))
+    assert all(any(x in got for x in m) for m in want.values())
+    assert all(min(m)[:2] in {x[:2] for x in m if x in got} for m in want.values())
+    clean = stages["benchmark_decontamination"](spark, docs, SF)
+    assert sorted((str(r.doc_id), r.text) for r in clean.collect()) == sorted((str(k), t) for k, t in data if leak not in t)

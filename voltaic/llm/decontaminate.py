@@ -218,7 +218,7 @@ class Index:
 
 def find_passages(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
-    q: int = Q, rate: float = EDIT_RATE,
+    q: int = Q, rate: float = EDIT_RATE, detail: bool = False,
 ) -> DataFrame:
     """Benchmark passages found in documents.
 
@@ -229,14 +229,15 @@ def find_passages(
     ``MIN_CHARS`` characters are not searched; of repeated passage rows each
     is searched. Empty tables give an empty result. The benchmark is searched
     in blocks of about ``BLOCK_CHARS`` characters, so that what is sent to the
-    executors stays bounded however large it is.
+    executors stays bounded however large it is. With ``detail``, ``__hash``
+    (of the document's text) follows.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(f"`{item_key}`").alias("k"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n_blocks = -(-chars // BLOCK_CHARS)
-    source = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
-    schema = f"k {source.schema['k'].dataType.simpleString()}, i {items.schema['k'].dataType.simpleString()}, start long, end long, distance long"
+    source = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(F.col(f"`{text}`")).alias("h"))
+    schema = f"k {source.schema['k'].dataType.simpleString()}, i {items.schema['k'].dataType.simpleString()}, start long, end long, distance long, h long"
     out = None
     for block in range(n_blocks):
         own = items.where(F.expr(f"pmod(xxhash64(t), {n_blocks}) = {block}")).orderBy("k", "t").collect()
@@ -252,13 +253,15 @@ def find_passages(
                 rows = pa.array([n for n, _ in hits], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(rows), ids.take(pa.array([h.item for _, h in hits], pa.int64()))]
-                    + [pa.array([getattr(h, f) for _, h in hits], pa.int64()) for f in ("start", "end", "distance")],
-                    names=["k", "i", "start", "end", "distance"],
+                    + [pa.array([getattr(h, f) for _, h in hits], pa.int64()) for f in ("start", "end", "distance")]
+                    + [part.column(2).take(rows)],
+                    names=["k", "i", "start", "end", "distance", "h"],
                 )
 
         found = source.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     out = spark.createDataFrame([], schema) if out is None else out
+    out = out.withColumnRenamed("h", "__hash") if detail else out.drop("h")
     return out.withColumnsRenamed({"k": key, "i": item_key})
 
 
@@ -268,8 +271,16 @@ def _arrow(items: DataFrame) -> pa.DataType:
     return to_arrow_type(items.schema["k"].dataType)
 
 
-def drop_contaminated(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Documents without a found passage; rows with a NULL key stay unless a
-    found row has a NULL key too."""
-    leaked = found.select(F.col(key).alias("__leaked")).distinct()
-    return docs.join(leaked, docs[key].eqNullSafe(leaked["__leaked"]), "left_anti")
+def drop_contaminated(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents without a found passage.
+
+    If ``found`` was made with ``detail``, a row goes when its key and text
+    are a found row's; else all rows with a found row's key go, and rows with
+    a NULL key stay unless a found row has a NULL key too.
+    """
+    if "__hash" not in found.columns:
+        leaked = found.select(F.col(key).alias("__leaked")).distinct()
+        return docs.join(leaked, docs[key].eqNullSafe(leaked["__leaked"]), "left_anti")
+    leaked = found.select(F.col(key).alias("__leaked"), F.col("__hash").alias("__of")).distinct()
+    hashed = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
+    return hashed.join(leaked, hashed[key].eqNullSafe(leaked["__leaked"]) & (hashed["__hash"] == leaked["__of"]), "left_anti").drop("__hash")

@@ -77,12 +77,12 @@ def fingerprint(text: str | None, shingle: int, seed: int = SEED) -> int:
     return int(bits.view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = SEED) -> DataFrame:
-    """``key`` and ``fp`` (long) of every whole text; one row per input row."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, ``keep`` and ``fp`` (long) of every whole text; one row per input row."""
     def run(texts):
         return [pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())]
 
-    return per_text(docs, text, [key], "fp long", run)
+    return per_text(docs, text, [key, *keep], "fp long", run)
 
 
 def _tile(fp: Column, radius: int, words: int) -> Column:
@@ -178,7 +178,7 @@ def links(distinct: DataFrame, radius: int = 2, words: int = 4) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, words: int = 4) -> DataFrame:
+def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2, words: int = 4, detail: bool = False) -> DataFrame:
     """Fingerprint and group of every document.
 
     Words are split at ASCII white space after lower-casing A-Z; a text with
@@ -188,28 +188,38 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     reachable over links of ``radius`` or fewer differing bits. One row per
     input row, repeated keys included; a row with a NULL key has a component
     like others, NULL if no member has a key. An empty table gives an empty
-    result; other columns are ignored.
+    result; other columns are ignored. With ``detail``, ``__group`` (one value
+    per group, whatever the keys) and ``__hash`` (of the text) follow.
     """
-    fps = cut(fingerprints(docs, key, text, shingle))
+    hashed = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`"))) if detail else docs
+    fps = cut(fingerprints(hashed, key, text, shingle, keep=("__hash",) if detail else ()))
     first = cut(fps.groupBy("fp").agg(F.min(key).alias("first")))
     roots = components(links(first, radius, words)).withColumnsRenamed({"node": "fp"})
     linked = first.join(roots, "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("component"))
-    linked = linked.join(smallest, "root").select("fp", "component")
+    linked = linked.join(smallest, "root").select("fp", "root", "component")
     # Cut, so that the join with all documents has an exchange of its own on
     # either side, which the adaptive skew join can split at a hot fingerprint.
-    known = cut(first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id")))
-    return fps.join(known, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    group = [F.coalesce("root", "fp").alias("__group")] if detail else []
+    known = cut(first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"), *group))
+    more = ["__group", "__hash"] if detail else []
+    return fps.join(known, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *more)
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group: the one with the smallest key.
 
-    Of rows that share that key the one with the smallest text stays.
+    Of rows that share that key the one with the smallest hash of the text
+    stays, and of rows that share the text too any one. A NULL key comes after
+    all others, and groups whose keys are NULL or repeated stay apart.
+    ``groups`` is ``simhash_groups`` with ``detail``; without it, groups do not
+    tell which of a repeated key's texts is whose, and are found anew.
     """
-    from pyspark.sql import Window
-
-    chosen = groups.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__key")).distinct()
-    kept = docs.join(chosen, docs[key].eqNullSafe(chosen["__key"]), "left_semi")
-    order = Window.partitionBy(key).orderBy(text)
-    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    if "__group" not in groups.columns:
+        groups = simhash_groups(docs, key, text, detail=True)
+    chosen = groups.groupBy("__group").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("__hash").alias("hash"))).alias("c"))
+    chosen = chosen.select(F.col("c.key").alias("__key"), F.col("c.hash").alias("__of"))
+    hashed = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
+    kept = hashed.join(chosen, hashed[key].eqNullSafe(chosen["__key"]) & (hashed["__hash"] == chosen["__of"]), "left_semi")
+    # Copies of a row combine before their shuffle.
+    return kept.dropDuplicates([key, "__hash"]).drop("__hash")
