@@ -121,3 +121,11 @@ def test_edge_rows(spark, model):
     got = {(r.page_id, r.url): r for r in X.extract(df, model, ["page_id", "url"]).collect()}
     assert got[1, "u"].text == "" and got[None, "v"].text == "" and len(got[2, None].text) == 499_999
     assert X.learn_and_extract(df.limit(0)).count() == 0
+
+
+def test_open_heads_and_math():
+    assert texts("<html><head><meta charset=x><title>t</title><link href=y><p>a<p>b") == ["a", "b"]
+    assert texts("<head><script>s</script><noscript>n</noscript><template><p>no</p></template> <div>yes</div>") == ["yes"]
+    assert texts("<head><title>t</title>bare text<p>c") == ["bare text", "c"]
+    assert texts("<head><style>s</style><img src=i>d") == ["d"]
+    assert texts("<head><title>t</title></head><p>e <math><mi>x</mi><mo>=</mo><mn>1</mn></math> f") == ["e x=1 f"]

@@ -29,8 +29,10 @@ BLOCK_TAGS = frozenset(
     "tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = frozenset("script style noscript template svg math iframe object textarea select title head audio video canvas".split())
+HIDDEN_TAGS = frozenset("script style noscript template svg iframe object textarea select title head audio video canvas".split())
 RAW_TAGS = frozenset("script style textarea title noscript iframe".split())
+#: Start tags that may stand in a head; any other ends it.
+HEAD_TAGS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 #: An opening tag ends these open elements, as browsers do.
 IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: An implied end looks no further up than one of these.
@@ -63,7 +65,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
     """Blocks of text in page order, references decoded, white space folded.
 
     Broken markup is read as browsers do in the common cases: unclosed
-    paragraphs, list items and cells, stray end tags, unclosed comments.
+    paragraphs, list items, cells and heads, stray end tags, unclosed comments.
     """
     page = page or ""
     out: list[Block] = []
@@ -97,6 +99,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
     while at < len(page):
         m = _TAG.search(page, at)
         end = m.start() if m else len(page)
+        if stack and stack[-1][0] == "head" and page[at:end].strip():
+            pop(len(stack) - 1)
         if end > at and not hidden:
             pieces.append((html.unescape(page[at:end]), links > 0))
         if m is None:
@@ -123,6 +127,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
                     if tag == "p":
                         flush()
             continue
+        if stack and stack[-1][0] == "head" and tag not in HEAD_TAGS:
+            pop(len(stack) - 1)
         if tag in BLOCK_TAGS:
             flush()
         if tag in CLOSES_P:
