@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltaic.llm import bpe, chat, decontaminate, extract, langid, licenses, linechunks, outliers, quality, simhash
+from voltaic.llm import bpe, chat, decontaminate, extract, langid, licenses, linechunks, outliers, quality, simhash, suffixtrees
 from voltaic.llm.common import read
 
 
@@ -62,6 +63,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of the words of each document that no earlier document has too."""
+    out = suffixtrees.drop_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_robust_outliers": op2_robust_outliers,
@@ -73,9 +80,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_passages": op9_benchmark_passages,
     "op10_simhash": op10_simhash,
+    "op11_suffix_trees": op11_suffix_trees,
 }
 
 ORACLE: dict[str, str] = {
     "op4_event_chat": chat.ORACLE_SQL,
     "op5_line_chunks": linechunks.ORACLE_SQL,
+    "op11_suffix_trees": suffixtrees.ORACLE_SQL,
 }
