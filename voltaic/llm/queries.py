@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaic.llm import bpe, chat, decontaminate, extract, langid, licenses, linechunks, outliers, quality, simhash, suffixtrees
+from voltaic.llm import bpe, chat, decontaminate, extract, langid, licenses, linechunks, outliers, prefixtrie, quality, simhash, suffixtrees
 from voltaic.llm.common import read
 
 
@@ -69,6 +69,11 @@ def op11_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per node of the prefix trie of all rebuilt conversations."""
+    return prefixtrie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_robust_outliers": op2_robust_outliers,
@@ -81,10 +86,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_passages": op9_benchmark_passages,
     "op10_simhash": op10_simhash,
     "op11_suffix_trees": op11_suffix_trees,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
     "op4_event_chat": chat.ORACLE_SQL,
     "op5_line_chunks": linechunks.ORACLE_SQL,
     "op11_suffix_trees": suffixtrees.ORACLE_SQL,
+    "op12_prefix_trie": prefixtrie.ORACLE_SQL,
 }
