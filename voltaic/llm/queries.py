@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaic.llm import bpe, chat, decontaminate, extract, langid, licenses, linechunks, outliers, prefixtrie, quality, simhash, suffixtrees
+from voltaic.llm import bpe, chat, decontaminate, extract, langid, licenses, linechunks, outliers, prefixtrie, quality, simhash, suffixtrees, variants
 from voltaic.llm.common import read
 
 
@@ -74,6 +74,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.conversation_trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per frequent word of all documents, with the spelling that it varies."""
+    return variants.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_robust_outliers": op2_robust_outliers,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_suffix_trees": op11_suffix_trees,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -94,4 +100,5 @@ ORACLE: dict[str, str] = {
     "op5_line_chunks": linechunks.ORACLE_SQL,
     "op11_suffix_trees": suffixtrees.ORACLE_SQL,
     "op12_prefix_trie": prefixtrie.ORACLE_SQL,
+    "op13_spelling_variants": variants.ORACLE_SQL,
 }
