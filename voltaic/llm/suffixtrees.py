@@ -39,7 +39,7 @@ from voltaic.llm.common import Scratch, chunks, cut
 #: Words of a window, words of an anchor, and distinct fragments of a group.
 WINDOW = 50
 SEED_WORDS = 8
-GROUP = 4096
+GROUP = 512
 #: Bytes of text, window starts, and words of groups handled at one time.
 PIECE_BYTES = 1 << 20
 BLOCK = 1 << 16
