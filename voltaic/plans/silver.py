@@ -20,7 +20,10 @@ ORDER_COLUMNS = ("_published_at", "_row_id")
 
 def conform(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast the named columns in one projection; a value that does not fit
-    becomes NULL (``try_cast``), other columns pass through."""
+    becomes NULL (``try_cast``), other columns pass through.  Rejects of a
+    reader (rows with a ``_reason``) go."""
+    if "_reason" in df.columns:
+        df = df.filter(F.col("_reason").isNull()).drop("_reason")
     source = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def cast(c: str) -> F.Column:
