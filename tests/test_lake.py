@@ -129,7 +129,7 @@ def test_rejects_serving_and_publish(spark):
     assert spark.table("voltaic_run4_mart_daily_summary").count() == 1
     mix = spark.read.parquet(f"{root}/lake/serving/fct_daily_generation_mix")
     types = dict(mix.dtypes)
-    assert (types["nuclear_mwh"], types["pct_nuclear"], types["peak_demand_mw"]) == ("decimal(12,1)", "decimal(6,4)", "int")
+    assert (types["nuclear_mwh"], types["pct_nuclear"], types["peak_demand_mw"]) == ("decimal(12,1)", "decimal(6,4)", "decimal(10,1)")
     assert {n for layer, n in summary if layer == "serving"} == {*serving.DECLARED, *serving.VIEW_NAMES}
     fact = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
     assert "reserve_30r_mw" in fact.columns

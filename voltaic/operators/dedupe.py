@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 from typing import Sequence
 
@@ -64,7 +65,8 @@ def _comparable(name: str, dtype: str, desc: bool) -> Column:
 def order_key(df: DataFrame, order: OrderSpec, descending: bool = True) -> Column:
     """One column whose maximum is the first row by ``order``; never NULL.
 
-    A NULL order value comes last, in either direction.  Integers, dates and
+    A NULL order value comes last, in either direction.  Whole decimals
+    (``pack_order`` makes one), integers, dates and
     timestamps, alone or as a (date or timestamp or int, integer or
     timestamp) pair, are packed into one exact decimal, whose aggregate
     buffer is fixed width, so ``max_by`` stays a hash aggregate and nothing
@@ -78,6 +80,9 @@ def order_key(df: DataFrame, order: OrderSpec, descending: bool = True) -> Colum
     if missing or not spec:
         raise ValueError(f"order columns are missing: {missing or 'none given'}")
     kinds = [types[c] for c, _ in spec]
+    if len(spec) == 1 and re.fullmatch(r"decimal\(\d+,0\)", kinds[0]):
+        c = F.col(spec[0][0]).cast("decimal(38,0)")
+        return F.coalesce(c if spec[0][1] else -c, F.lit(Decimal(1 - 10 ** 38)).cast("decimal(38,0)"))
     signed = [_integer(c, t) if d else -_integer(c, t) for (c, d), t in zip(spec, kinds)
               if t in (*_NARROW, *_MICROS, *_WIDE)]
     if len(spec) == 1 and signed:
@@ -110,3 +115,31 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: OrderSpec,
     if not rest:
         return keyed.select(*keys).distinct()
     return keyed.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("__order")).alias(c) for c in rest])
+
+
+#: Files below which the dictionary of their paths is broadcast: a path takes
+#: some hundred bytes.
+FEW_FILES = 10_000
+# A place in a file has at most 23 digits, the rank of a path 15.
+_PLACES = 10 ** 23
+
+
+def pack_order(df: DataFrame, path: str = "_published_at", place: str = "_row_id", out: str = "_order") -> DataFrame:
+    """Publication order of rows read from files as one exact decimal.
+
+    The distinct paths are sorted once, which gives each a number in path
+    order; the number is joined back and packed with the row's place in its
+    file.  ``keep_last`` on the result is a hash aggregate of fixed-width
+    buffers, while an order by path text would sort all rows.  ``path`` and
+    ``place`` go.  The dictionary is broadcast if it has few rows, which one
+    count of it checks; a NULL path comes last.
+    """
+    paths = df.select(path).where(F.col(path).isNotNull()).distinct()
+    few = paths.limit(FEW_FILES + 1).count() <= FEW_FILES
+    # Numbers grow with the partition and with the row in it, and partitions
+    # of a sorted frame are in order.
+    ranks = paths.orderBy(path).select(path, (F.monotonically_increasing_id() + 1).alias("__rank"))
+    joined = df.join(F.broadcast(ranks) if few else ranks, path, "left")
+    rank = F.coalesce(F.col("__rank"), F.lit(0)).cast("decimal(15,0)")
+    packed = rank * F.lit(Decimal(_PLACES)).cast("decimal(24,0)") + F.coalesce(F.col(place), F.lit(0)).cast("decimal(23,0)")
+    return joined.withColumn(out, packed.cast("decimal(38,0)")).drop(path, place, "__rank")

@@ -165,11 +165,8 @@ def renewable_penetration(snapshot: DataFrame, series: Sequence[str] | None = No
 
 
 def latest_grid_status(snapshot: DataFrame) -> DataFrame:
-    """All columns of the latest hour (of each region): a semi join with the
-    latest key, one row per region."""
-    series = config.series_of(snapshot)
-    top = latest(snapshot.select(*series, *KEYS), 1, series=series)
-    return snapshot.join(top, on=[*series, *KEYS], how="left_semi")
+    """All columns of the latest hour (of each region), one row per region."""
+    return latest(snapshot, 1, series=config.series_of(snapshot))
 
 
 VIEW_NAMES = ("v_latest_grid_status", "v_daily_summary", "v_hourly_generation_mix",
@@ -197,27 +194,55 @@ def register_views(snapshot: DataFrame, dayahead: DataFrame) -> list[str]:
 
 
 # FIXED VALUES: declared decimal types of the serving tables, by the shape of
-# the column name (first match) -- energy and power, prices, shares, weather.
+# the column name (first match) -- energy and power, prices, shares, carbon,
+# weather.
 SERVING_TYPES = (
     ("_mwh", "decimal(12,1)"), ("_mw", "decimal(10,1)"), ("price", "decimal(10,2)"), ("spread", "decimal(10,2)"),
     ("carbon_intensity", "decimal(8,2)"), ("_contribution", "decimal(8,2)"), ("pct_", "decimal(6,4)"),
+    ("temperature_c", "decimal(5,1)"), ("humidity_pct", "decimal(5,1)"), ("wind_speed_kmh", "decimal(5,1)"),
 )
-DECLARED = ("fct_daily_generation_mix", "fct_price_spreads", "fct_carbon_intensity", "mart_renewable_penetration")
+DECLARED = ("fct_hourly_grid_snapshot", "fct_daily_generation_mix", "fct_price_spreads", "fct_carbon_intensity", "mart_renewable_penetration")
+# Serving tables with one row per day or hour, laid out by month; a change in
+# a month changes only that month of them, but for the rolling means, which
+# reach into the next.
+MONTHLY = ("fct_hourly_grid_snapshot", "fct_daily_generation_mix", "fct_price_spreads", "fct_carbon_intensity",
+           "v_daily_summary", "v_hourly_generation_mix", "v_price_analysis")
 
 
 def declared_types(df: DataFrame) -> DataFrame:
-    """Double columns as the decimals that the serving tables declare."""
+    """Measures (doubles, and whole MW) as the decimals that the serving tables
+    declare."""
     kind = lambda c: next((t for part, t in SERVING_TYPES if part in c), None)
-    return df.select(*[F.col(c).cast(kind(c)).alias(c) if t == "double" and kind(c) else F.col(c) for c, t in df.dtypes])
+    return df.select(*[F.col(c).cast(kind(c)).alias(c) if t in ("double", "int") and kind(c) else F.col(c) for c, t in df.dtypes])
+
+
+def hourly_fact(snapshot: DataFrame, dayahead: DataFrame) -> DataFrame:
+    """The hourly snapshot under the names of the declared serving fact:
+    demand in MW, shares as fractions, real-time and day-ahead price with
+    their spread, weather, carbon, losses and reserves, time features."""
+    s = with_dayahead(snapshot, dayahead)
+    have = lambda c: F.col(c) if c in s.columns else F.lit(None).cast("double")
+    return s.select(
+        *config.series_of(s), *KEYS,
+        F.col("market_demand").alias("market_demand_mw"), F.col("region_demand").alias("region_demand_mw"),
+        *[config.fuel_column(f) for f in MIX_FUELS], "total_generation_mw",
+        *[_frac(f).alias(f"pct_{f.lower()}") for f in ("Nuclear", "Gas", "Hydro", "Wind", "Solar")],
+        F.col("renewable_frac").alias("pct_renewable"),
+        F.col("energy_price").alias("rt_price"), "da_price", (F.col("da_price") - F.col("energy_price")).alias("price_spread"),
+        "temperature_c", "humidity_pct", "wind_speed_kmh",
+        F.col("carbon_intensity_gco2_kwh").alias("carbon_intensity_gco2"),
+        *[have(c).alias(c) for c in ("total_loss_mw", "reserve_10s_mw", "reserve_10n_mw", "reserve_30r_mw")],
+        "is_weekday", "is_peak_hour", "season", "day_of_week", F.current_timestamp().alias("loaded_at"))
 
 
 def serving_tables(fact: DataFrame, dayahead: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
-    """Builders of everything the serving layer holds: the declared marts with
-    their decimal types, and the six views.  Without a day-ahead feed the
-    tables that need one have NULL there."""
+    """Builders of everything the serving layer holds: the declared facts and
+    marts with their decimal types, and the six views.  Without a day-ahead
+    feed the tables that need one have NULL there."""
     if dayahead is None:
         dayahead = fact.select(*config.series_of(fact), *KEYS, F.lit(None).cast("double").alias("da_price")).limit(0)
     marts = {
+        "fct_hourly_grid_snapshot": lambda: hourly_fact(fact, dayahead),
         "fct_daily_generation_mix": lambda: daily_generation_mix(fact),
         "fct_price_spreads": lambda: price_spreads(fact, dayahead),
         "fct_carbon_intensity": lambda: carbon_contribution(fact),

@@ -38,14 +38,15 @@ def conform(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def publication_order(df: DataFrame) -> list[str]:
-    """The columns that order publications in a bronze frame."""
-    return [c for c in ORDER_COLUMNS if c in df.columns]
+    """The columns that order publications in a bronze frame: the packed
+    order, or else path or time and position."""
+    return ["_order"] if "_order" in df.columns else [c for c in ORDER_COLUMNS if c in df.columns]
 
 
 def _required_order(df: DataFrame) -> list[str]:
     order = publication_order(df)
     if not order:
-        raise ValueError(f"no publication order: need one of {', '.join(ORDER_COLUMNS)}")
+        raise ValueError(f"no publication order: need one of _order, {', '.join(ORDER_COLUMNS)}")
     return order
 
 
@@ -151,7 +152,7 @@ def realtime(bronze: DataFrame) -> DataFrame:
     types = {"date": "date", "hour": "int", "interval": "int"}
     types.update({m: "double" for m in REALTIME_MEASURES if m in bronze.columns})
     df = conform(bronze, types)
-    order = [c for c in ("_published_at", "_line_no") if c in df.columns]
+    order = ["_order"] if "_order" in df.columns else [c for c in ("_published_at", "_line_no") if c in df.columns]
     if order:
         df = keep_last(df, config.series_of(df) + KEYS + ["interval"], order, drop_order=True)
     return df.select(
@@ -175,8 +176,9 @@ def intertie(bronze: DataFrame) -> DataFrame:
 
 
 def dayahead(bronze: DataFrame) -> DataFrame:
-    df = conform(bronze, {"date": "date", "hour": "int", "da_price": "double"})
-    return df.dropna(subset=["date", "hour"])
+    """Day-ahead prices; a frame with a publication order keeps the last one."""
+    df = conform(bronze, {"date": "date", "hour": "int", "da_price": "double"}).dropna(subset=["date", "hour"])
+    return _dedupe(df) if publication_order(df) else df
 
 
 TRANSFORMS = {

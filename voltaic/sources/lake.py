@@ -10,9 +10,9 @@ second time just to count it.
 from __future__ import annotations
 
 import os
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,15 @@ LINEAGE = ("_loaded_at", "_source")
 DEFAULT_FORMAT = os.environ.get("VOLTAIC_TABLE_FORMAT", "parquet")
 
 
-def with_lineage(df: DataFrame, source: str | None = None) -> DataFrame:
+def with_lineage(df: DataFrame, source: str | Column | None = None, loaded_at: Column | None = None) -> DataFrame:
     """Load time and source.  Without ``source`` the file path of each
-    row is used (the frame must come straight from a file read)."""
-    src = F.lit(source) if source is not None else F.col("_metadata.file_path")
-    return df.select("*", F.current_timestamp().alias("_loaded_at"), src.alias("_source"))
+    row is used (the frame must come straight from a file read).
+    ``loaded_at`` gives all rows of a run one time."""
+    if source is None:
+        source = F.col("_metadata.file_path")
+    src = F.lit(source) if isinstance(source, str) else source
+    when = F.current_timestamp() if loaded_at is None else loaded_at
+    return df.select("*", when.alias("_loaded_at"), src.alias("_source"))
 
 
 def drop_lineage(df: DataFrame) -> DataFrame:
@@ -44,6 +48,44 @@ def write_raw(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def _fs(spark: SparkSession, path: str):
+    """The file system of ``path`` and a function that makes its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _new(path: str) -> str:
+    return path.rstrip("/") + ".__new"
+
+
+def _old(path: str) -> str:
+    return path.rstrip("/") + ".__old"
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Undo a replacement that stopped between its two renames: the old table
+    is back under its name."""
+    fs, make = _fs(spark, path)
+    if fs.exists(make(_old(path))):
+        if not fs.exists(make(path)):
+            fs.rename(make(_old(path)), make(path))
+        else:
+            fs.delete(make(_old(path)), True)
+
+
+def _put_in_place(spark: SparkSession, path: str) -> None:
+    """The staged table takes the place of the one at ``path``.  Readers
+    find the old or the new one, but for the moment between two renames."""
+    fs, make = _fs(spark, path)
+    if fs.exists(make(path)):
+        if not fs.rename(make(path), make(_old(path))):
+            raise IOError(f"cannot move {path}")
+    if not fs.rename(make(_new(path)), make(path)):
+        restore(spark, path)
+        raise IOError(f"cannot replace {path}")
+    fs.delete(make(_old(path)), True)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
                 partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
                 mode: str = "overwrite", dynamic: bool = False) -> int:
@@ -56,20 +98,51 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
     every task, and the number of files grows with the data.  ``dynamic``
     replaces only the partitions present in ``df`` (an increment).  The
     count is observed during the write.
+
+    A whole table is written beside the old one and takes its place by
+    rename when all of it is there, so a write that fails leaves the old
+    table as it was.  (A transactional format does this by itself.)
     """
+    return write_counted(df, path, fmt, partition_by, sort_by, mode, dynamic)["rows"]
+
+
+def write_counted(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
+                  partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+                  mode: str = "overwrite", dynamic: bool = False,
+                  counts: Mapping[str, Column] | None = None,
+                  check: Callable[[Mapping[str, int]], None] | None = None) -> dict[str, int]:
+    """``write_table`` that also observes ``counts`` (aggregates over the rows
+    written; a name has its aggregate).  ``check`` sees them before a
+    replacement takes effect and may raise, which leaves the old table."""
+    spark = df.sparkSession
     obs = Observation()
     if partition_by:
         df = df.repartitionByRange(*dict.fromkeys([*partition_by, *sort_by]))
     if sort_by:
         df = df.sortWithinPartitions(*dict.fromkeys([*partition_by, *sort_by]))
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    wanted = {"rows": F.count(F.lit(1)), **(counts or {})}
+    observed = df.observe(obs, *[c.alias(n) for n, c in wanted.items()])
+    # An empty partitioned table is one file without rows, for its schema.
+    if dynamic and partition_by and exists(spark, f"{path}/part-*"):
+        dynamic = False
+    staged = mode == "overwrite" and not dynamic and fmt != "delta"
+    if staged:
+        restore(spark, path)
     writer = observed.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
-    return int(obs.get.get("rows", 0))
+    writer.save(_new(path) if staged else path)
+    seen = obs.get
+    got = {n: int(seen.get(n) or 0) for n in wanted}
+    if check is not None:
+        check(got)
+    if staged:
+        if partition_by and not got["rows"]:
+            df.limit(0).write.format(fmt).mode(mode).save(_new(path))
+        _put_in_place(spark, path)
+    return got
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
@@ -79,14 +152,14 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> Dat
 def optional(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame | None:
     """The table at ``path``, or None if nothing is there.  Any other
     error of the read is raised."""
+    restore(spark, path)
     return read_table(spark, path, fmt) if exists(spark, path) else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder (or a match of a glob) is at ``path``."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
-    return bool(found)
+    fs, make = _fs(spark, path)
+    return bool(fs.globStatus(make(path)))
 
 
 def ingest(spark: SparkSession, raw_path: str, table_path: str,

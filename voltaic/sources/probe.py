@@ -7,6 +7,7 @@ and the heads read the first lines of each file on the executors and stop.
 from __future__ import annotations
 
 from typing import Callable, Iterable, Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,8 +78,9 @@ def path_part(path: Column, name: str) -> Column:
 
 def series_in(spark: SparkSession, paths: str | Sequence[str], marks: Callable[[str], Sequence[str]] | None = None) -> list[str]:
     """The series (regions) that the files carry, in a folder of their path or
-    in their text: ``marks(name)`` lists texts of which a file that has the
-    series holds one in its first lines."""
+    in their text: ``marks(name)`` lists texts (blanks do not count, and a line
+    ends in a comma) of which a file that has the series holds one in its
+    first lines."""
     names = list(config.SERIES)
     shown = [F.coalesce(F.bool_or(path_part(F.col("path"), n).isNotNull()), F.lit(False)).alias(f"p{i}") for i, n in enumerate(names)]
     row = listing(spark, paths).agg(*shown).first()
@@ -87,7 +89,14 @@ def series_in(spark: SparkSession, paths: str | Sequence[str], marks: Callable[[
         if marks is None or name in found:
             continue
         texts = [t.lower() for t in marks(name)]
-        find = lambda lines, texts=texts: next((t for line in lines for t in texts if t in line.lower()), None)
+        find = lambda lines, texts=texts: next((t for line in lines for t in texts if t in line.lower().replace(" ", "") + ","), None)
         if not heads(spark, paths, find).where("head is not null").isEmpty():
             found.add(name)
     return [n for n in names if n in found]
+
+
+def plain_path(path: str) -> str:
+    """A path of the listing as a reader takes it: decoded, and without glob
+    characters taken for patterns."""
+    out = unquote(path)
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in out)

@@ -350,7 +350,7 @@ def read_realtime_report(spark: SparkSession, paths: str | Sequence[str], series
     """Real-time totals files.  Each file is read whole (one task per
     file; reports are small and many, so files are the parallel unit)."""
     if series is None:
-        series = series_in(spark, paths, lambda n: [f",{n},", f",{n}\n", f",{n}\r"])
+        series = series_in(spark, paths, lambda n: [f",{n},"])
     text = spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
     text = text.select("value", F.col("_metadata.file_path").alias("_published_at"))
     return parse_realtime_text(text, series=series)

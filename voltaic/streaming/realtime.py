@@ -1,9 +1,12 @@
 """Real-time totals: hourly roll-up (K2) in batch and streaming form, and
 incremental intake of report files (K1).
 
-The batch and the streaming forms share the parser and the aggregate
-expressions; the stream adds event time, a watermark and a tumbling
-window, so state is bounded and late rows are dropped.
+Intake is one query that parses each file once and writes good rows and
+rejects in one idempotent write per micro-batch.  What follows streams from
+that table: the last publication of each interval, and the hourly roll-up of
+those.  Batch and streaming forms share the parser and the aggregate
+expressions; the stream adds event time, a watermark and tumbling windows, so
+state is bounded and late rows are dropped.
 """
 
 from __future__ import annotations
@@ -12,13 +15,16 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config
 from ..functions import pct, round_half_up
+from ..sources.lake import exists
 from ..sources.reports import parse_realtime_text
 
 INTERVAL_KEYS = ("date", "hour", "interval")
+INTERVAL_LENGTH = "5 minutes"
 
 
 RESERVES = {"total_10s": "reserve_10s_mw", "total_10n": "reserve_10n_mw", "total_30r": "reserve_30r_mw"}
@@ -66,54 +72,89 @@ def market_hour(ts: Column) -> tuple[Column, Column]:
             (F.floor(F.pmod(seconds, F.lit(86400)) / 3600) + 1).cast("int"))
 
 
-def realtime_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """K1: every report file that lands in ``folder`` as parsed 5-minute
-    rows (whole-text files, one per task), with event time ``ts``.  Rows
-    without a date are those of ``realtime_rejects``."""
-    return _parsed_stream(spark, folder, max_files).filter(F.col("date").isNotNull()).withColumn("ts", interval_start())
+def _parsed_stream(spark: SparkSession, folder: str, max_files: int | None, series: Sequence[str]) -> DataFrame:
+    reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    text = reader.load(folder).select("value", F.col("_metadata.file_path").alias("_published_at"))
+    return parse_realtime_text(text, series=series).withColumnRenamed("_reason", "status")
+
+
+def write_batch(rows: DataFrame, batch_id: int, table: str) -> bool:
+    """One micro-batch of parsed rows into its own folder of ``table``, good
+    rows and rejects in one write; whether it was written.  A batch that is
+    replayed after it was written changes nothing; one that stopped half-way
+    is written anew, over what it left."""
+    folder = f"{table}/batch={batch_id}"
+    if exists(rows.sparkSession, f"{folder}/_SUCCESS"):
+        return False
+    rows.withColumn("status", F.coalesce("status", F.lit("ok"))).write.mode("overwrite").partitionBy("status").parquet(folder)
+    return True
+
+
+def start_intake(spark: SparkSession, folder: str, table: str, checkpoint: str, max_files: int | None = None,
+                 series: Sequence[str] = (), available_now: bool = True) -> StreamingQuery:
+    """K1: every report file that lands in ``folder`` is read and parsed once;
+    its rows go to ``table``, rejects with their reason beside the good ones.
+    ``series`` names the key columns that the reports carry (the region)."""
+    rows = _parsed_stream(spark, folder, max_files, series)
+    writer = rows.writeStream.foreachBatch(lambda df, batch: write_batch(df, batch, table)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def realtime_rejects(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """K1: rows of files without a readable date, with their file's path.
-    Write this stream beside the intake, so that no row vanishes."""
-    return _parsed_stream(spark, folder, max_files).filter(F.col("date").isNull())
+def _schema(spark: SparkSession, series: Sequence[str]) -> T.StructType:
+    """The columns of an intake table, without those in its folder names."""
+    none = spark.createDataFrame([], "value string, _published_at string")
+    return parse_realtime_text(none, series=series).drop("_reason").schema
 
 
-def _parsed_stream(spark: SparkSession, folder: str, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.format("text").option("wholetext", True)
+def accepted(spark: SparkSession, table: str) -> DataFrame:
+    """Good rows of an intake table, every publication of an interval."""
+    return spark.read.parquet(table).filter(F.col("status") == "ok").drop("status", "batch")
+
+
+def rejected(spark: SparkSession, table: str) -> DataFrame:
+    """Rejects of an intake table, with their reason in ``status``."""
+    return spark.read.parquet(table).filter(F.col("status") != "ok")
+
+
+def realtime_stream(spark: SparkSession, table: str, series: Sequence[str] = (), max_files: int | None = None) -> DataFrame:
+    """Good rows of an intake table as a stream, with event time ``ts``; they
+    are parsed already."""
+    reader = spark.readStream.schema(_schema(spark, series)).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    text = reader.load(folder).select("value", F.col("_metadata.file_path").alias("_published_at"))
-    return parse_realtime_text(text)
-
+    return reader.parquet(f"{table}/batch=*/status=ok").withColumn("ts", interval_start())
 
-def start_intake(spark: SparkSession, folder: str, out: str, rejects: str, checkpoints: str,
-                 max_files: int | None = None, delay: str = "1 day") -> list[StreamingQuery]:
-    """K1 as two queries over one folder: deduplicated intervals to ``out``
-    and undated rows to ``rejects``, each with a checkpoint of its own."""
-    rows = dedupe_intervals(realtime_stream(spark, folder, max_files), delay)
-    return [start_to_table(rows, out, f"{checkpoints}/intake"),
-            start_to_table(realtime_rejects(spark, folder, max_files), rejects, f"{checkpoints}/rejects")]
 
+def last_publications(rows: DataFrame, delay: str = "1 day") -> DataFrame:
+    """K1: the last publication of each interval (region, date, hour,
+    interval), by file and line as in a batch.
 
-def dedupe_intervals(rows: DataFrame, delay: str = "1 day") -> DataFrame:
-    """K1: drop a repeated interval (same date, hour, interval) seen again
-    within the watermark delay; state older than the watermark is freed."""
-    return (rows.withWatermark("ts", delay)
-            .dropDuplicatesWithinWatermark(list(INTERVAL_KEYS)))
+    State holds one row per open interval.  An interval is emitted once, when
+    the watermark has passed it by ``delay``; until then a restatement takes
+    the place of what was there, and later ones are dropped."""
+    keys = [*config.series_of(rows), *INTERVAL_KEYS]
+    order = F.struct("_published_at", "_line_no")
+    rest = [c for c in rows.columns if c not in (*keys, "ts", "_published_at", "_line_no")]
+    best = (rows.withWatermark("ts", delay).groupBy(F.window("ts", INTERVAL_LENGTH).alias("w"), *keys)
+            .agg(F.max_by(F.struct(*rest), order).alias("last")))
+    return best.select(*keys, "last.*", F.window_time("w").alias("ts"))
 
 
 def hourly_stream(rows: DataFrame, delay: str | None = "3 hours") -> DataFrame:
-    """K2: tumbling one-hour windows on event time.  In append mode an hour
-    is emitted once the watermark passes its end; rows later than the
-    watermark are dropped.  ``delay=None`` keeps the watermark already set
-    upstream (e.g. by ``dedupe_intervals``); a stream has one watermark."""
+    """K2: tumbling one-hour windows on event time, per region where there is
+    one.  In append mode an hour is emitted once the watermark passes its end;
+    rows later than the watermark are dropped.  ``delay=None`` keeps the
+    watermark already set upstream (by ``last_publications``); a stream has
+    one watermark."""
     w = F.window("ts", "1 hour")
     if delay is not None:
         rows = rows.withWatermark("ts", delay)
-    agg = rows.groupBy(w.alias("w")).agg(*_measures(rows.columns))
+    series = config.series_of(rows)
+    agg = rows.groupBy(w.alias("w"), *series).agg(*_measures(rows.columns))
     date, hour = market_hour(F.col("w.start"))
-    return agg.select(date.alias("date"), hour.alias("hour"),
+    return agg.select(*series, date.alias("date"), hour.alias("hour"),
                       "energy_mw", "loss_mw", "load_mw", "loss_pct", *RESERVES.values(), "intervals")
 
 
