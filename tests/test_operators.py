@@ -1,6 +1,7 @@
 """Operators: keep-last, pivot, spine, joins, windows, top-k, quality."""
 
 import datetime as dt
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -209,3 +210,17 @@ def test_rolling_window_longer_than_a_bucket(spark):
     got = with_rolling(df, "v", {"r": 400}).orderBy("date").collect()
     want = df.select("*", rolling_mean("v", 400).alias("r")).orderBy("date").collect()
     assert all(abs(a.r - b.r) < 1e-9 for a, b in zip(got, want)) and len(got) == 150
+
+
+def test_profile_reads_its_input_once(spark):
+    df = spark.createDataFrame([(9, "b", 1.5, dt.date(2031, 2, 3), 10), (10, None, None, None, 9), (10, "a", -2.5, dt.date(2031, 2, 1), 10)],
+                               "i int, s string, d double, t date, `x.y` int")
+    out = Q.profile(df, ["i", "s", "d", "t", "x.y"])
+    got = {r.column_name: tuple(r)[1:] for r in out.collect()}
+    assert got == {"i": (3, 2, "9", "10"), "s": (2, 2, "a", "b"), "d": (2, 2, "-2.5", "1.5"), "t": (2, 2, "2031-02-01", "2031-02-03"), "x.y": (3, 2, "9", "10")}
+    empty = Q.profile(df.limit(0), ["i", "s"]).collect()
+    assert sorted(map(tuple, empty)) == [("i", 0, 0, None, None), ("s", 0, 0, None, None)]
+    path = tempfile.mkdtemp(prefix="voltaic-profile-") + "/t"
+    df.withColumnRenamed("x.y", "z").write.parquet(path)
+    plan = Q.profile(spark.read.parquet(path), ["i", "s", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

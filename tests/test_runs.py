@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import write
 from voltaic.operators.dedupe import keep_last, pack_order
 from voltaic.plans import silver as S
-from voltaic.plans.runner import LayerConfig, run_layers
+from voltaic.plans.runner import LayerConfig, Run, _fact, run_layers
 from voltaic.sources import lake, probe, reports as R
 
 HEADER = "Date,Hour,Market Demand,Ontario Demand"
@@ -261,3 +261,31 @@ def test_a_failed_write_leaves_the_old_table(spark):
     assert lake.optional(spark, f"{root}/t").count() == 5
     assert lake.write_table(spark.range(7), f"{root}/t") == 7
     assert lake.read_table(spark, f"{root}/t").count() == 7 and os.listdir(root) == ["t"]
+
+
+def test_bucketed_silver_joins_without_a_shuffle(spark):
+    root = fresh("buckets")
+    made = hours({"A": 0, "B": 100}, days("2031-01-31", 2), 0)
+    kinds = ("demand", "generation", "prices", "weather", "realtime")
+    landed = land(f"{root}/raw", {k: made[k] for k in kinds}, "a")
+    cfg = LayerConfig(f"{root}/lake", landed, buckets=4, catalog="voltaic_b_", incremental=True)
+    no_errors(run_layers(spark, cfg))
+    run = Run(spark, cfg)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _fact({n: run.read("silver", n) for n in kinds})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Hourly totals aggregate a column into its keys; they and the joins stay in their buckets.
+    assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan, plan
+    for name in kinds:
+        for month in ("year=2031/month=1", "year=2031/month=2"):
+            assert 1 <= len([f for f in os.listdir(f"{root}/lake/silver/{name}/{month}") if f.endswith(".parquet")]) <= 4
+    before = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot").count()
+    more = hours({"A": 0, "B": 100}, ["2031-02-09"], 0)
+    land(f"{root}/raw", {k: more[k] for k in kinds}, "b")
+    no_errors(run_layers(spark, cfg))
+    fact = spark.read.parquet(f"{root}/lake/gold/fct_hourly_grid_snapshot")
+    assert before == 8 and fact.count() == 12 and fact.filter("nuclear_mw IS NULL OR energy_price IS NULL OR total_loss_mw IS NULL").isEmpty()
+    assert run.read("silver", "demand").count() == 12

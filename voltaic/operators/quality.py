@@ -91,17 +91,30 @@ def quality_prices(df: DataFrame, columns: Sequence[str], low: float = config.PR
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: non-null count, distinct values, minimum and maximum
-    (as text).  Each column is first counted per value, a hash aggregate
-    that combines map-side; the figures then come from the distinct values
-    only.  One read per column of that column alone, no sort, no row copied
-    per distinct count."""
-    def one(c: str) -> DataFrame:
-        values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        return values.agg(
-            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
-            F.count("value").alias("distinct_values"),
-            F.min("value").cast("string").alias("min_value"),
-            F.max("value").cast("string").alias("max_value"),
-        ).select(F.lit(c).alias("column_name"), "non_null", "distinct_values", "min_value", "max_value")
-
-    return reduce(DataFrame.unionByName, [one(c) for c in columns])
+    (as text, in the order of the column's type).
+
+    One scan for all columns: each row becomes one (column, value) pair per
+    column, pairs are counted by one grouping that combines map-side, and the
+    figures come from the distinct pairs only.  Values of one type share a
+    field of the pair, so they compare as what they are."""
+    kinds = {c: df.schema[c].dataType for c in columns}
+    fields = {k: f"v{i}" for i, k in enumerate(dict.fromkeys(t.simpleString() for t in kinds.values()))}
+    types = {k.simpleString(): k for k in kinds.values()}
+
+    def pair(c: str) -> F.Column:
+        own = kinds[c].simpleString()
+        return F.struct(F.lit(c).alias("column_name"), *[
+            (F.col(f"`{c}`") if k == own else F.lit(None).cast(types[k])).alias(v) for k, v in fields.items()])
+
+    pairs = df.select(F.inline(F.array(*[pair(c) for c in columns])))
+    values = pairs.groupBy("column_name", *fields.values()).agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in fields.values()])
+    totals = values.groupBy("column_name").agg(
+        F.sum(F.when(known, F.col("n")).otherwise(0)).alias("non_null"), F.count_if(known).alias("distinct_values"),
+        *[f(v).cast("string").alias(f"{name}_{v}") for v in fields.values() for name, f in (("min", F.min), ("max", F.max))])
+    figure = lambda name: F.coalesce(*[F.col(f"{name}_{v}") for v in fields.values()]).alias(f"{name}_value")
+    found = totals.select("column_name", "non_null", "distinct_values", figure("min"), figure("max"))
+    # A column of an empty frame has no pair; its figures are 0 and NULL.
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    return every.join(found, "column_name", "left").select("column_name", zero("non_null"), zero("distinct_values"), "min_value", "max_value")

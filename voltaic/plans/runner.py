@@ -73,6 +73,9 @@ MONTHLY = ("fct_hourly_grid_snapshot", "mart_daily_summary", "mart_carbon_intens
 PUBLISHED = ("dim_date", "dim_fuel_type", "fct_hourly_grid_snapshot", "mart_daily_summary",
              "mart_carbon_intensity")
 
+# Silver sources that the hourly fact joins on its key.
+JOINED = ("demand", "generation", "prices", "weather", "realtime", "dayahead")
+
 Month = tuple[int, int]
 
 
@@ -80,7 +83,10 @@ Month = tuple[int, int]
 class LayerConfig:
     """``publish``: target of ``lake.publish`` (None: nothing is published);
     ``publish_prefix`` leads published table names, such as a schema.
-    ``incremental``: read only files that are new since the last run."""
+    ``incremental``: read only files that are new since the last run.
+    ``buckets``: silver tables that the hourly fact joins are bucketed and
+    sorted by its key, this many buckets per month, so its joins read them
+    without a shuffle; they are catalog tables named by ``catalog`` too."""
 
     lake_root: str
     landed: Mapping[str, list[str]] = field(default_factory=dict)
@@ -88,6 +94,8 @@ class LayerConfig:
     publish: Mapping[str, str] | None = None
     publish_prefix: str = ""
     incremental: bool = False
+    buckets: int | None = None
+    catalog: str = "voltaic_"
 
 
 def _try(results: list, layer: str, table: str, fn) -> bool:
@@ -122,7 +130,18 @@ class Run:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def bucketed(self, layer: str, name: str) -> bool:
+        return self.cfg.buckets is not None and layer == "silver" and name in JOINED
+
+    def buckets(self, df: DataFrame, layer: str, name: str) -> dict:
+        """How a bucketed table is laid out."""
+        return {"table": f"{self.cfg.catalog}{layer}_{name}", "path": self.path(layer, name), "keys": [*config.series_of(df), *config.KEYS],
+                "buckets": self.cfg.buckets, "partition_by": PARTITIONS}
+
     def read(self, layer: str, name: str) -> DataFrame:
+        if self.bucketed(layer, name):
+            how = self.buckets(lake.read_table(self.spark, self.path(layer, name), "parquet"), layer, name)
+            return lake.register_bucketed(self.spark, **how)
         return lake.read_table(self.spark, self.path(layer, name), self.cfg.fmt)
 
     def write(self, df: DataFrame, layer: str, name: str, months: set[Month] | None = None, by_month: bool = True) -> int:
@@ -131,6 +150,8 @@ class Run:
             df = df.select("*", *[f("date").alias(c) for c, f in zip(PARTITIONS, (F.year, F.month)) if c not in df.columns])
             if months is not None:
                 df = in_months(df, months)
+        if self.bucketed(layer, name):
+            return lake.write_bucketed(df, dynamic=months is not None, **self.buckets(df, layer, name))
         parts = PARTITIONS if by_month and "date" in df.columns else ()
         return lake.write_table(df, self.path(layer, name), self.cfg.fmt, partition_by=parts,
                                 sort_by=[c for c in SORT if c in df.columns], dynamic=months is not None)

@@ -145,6 +145,54 @@ def write_counted(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
     return got
 
 
+def register_bucketed(spark: SparkSession, table: str, path: str, keys: Sequence[str], buckets: int,
+                      partition_by: Sequence[str] = ()) -> DataFrame:
+    """Tell the session's catalog of the bucketed table at ``path``, and read
+    it.  Files carry their bucket's number, so nothing is written."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    schema = spark.read.parquet(path).schema
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = lambda names: ", ".join(f"`{c}`" for c in names)
+    parts = f"PARTITIONED BY ({by(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') {parts} "
+              f"CLUSTERED BY ({by(keys)}) SORTED BY ({by(keys)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    return spark.table(table)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int,
+                   partition_by: Sequence[str] = (), dynamic: bool = False) -> int:
+    """A Parquet table whose files are buckets of ``keys``, sorted by
+    them; returns the row count.
+
+    Tables with one number of buckets join on the keys, and group by them,
+    without a shuffle.  Rows are dealt to one task per bucket before the
+    write, so a partition has at most ``buckets`` files.  Replacement and
+    increments are those of ``write_table``; ``table`` names it in the catalog.
+    """
+    spark, obs = df.sparkSession, Observation()
+    df = df.repartition(buckets, *keys).observe(obs, F.count(F.lit(1)).alias("rows"))
+    if dynamic:
+        register_bucketed(spark, table, path, keys, buckets, partition_by)
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        return int(obs.get.get("rows", 0))
+    restore(spark, path)
+    draft = f"{table}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {draft}")
+    fs, make = _fs(spark, path)
+    fs.delete(make(_new(path)), True)
+    writer = df.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", _new(path))
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(draft)
+    spark.sql(f"DROP TABLE {draft}")
+    rows = int(obs.get.get("rows", 0))
+    if partition_by and not rows:
+        df.limit(0).write.mode("overwrite").parquet(_new(path))
+    _put_in_place(spark, path)
+    register_bucketed(spark, table, path, keys, buckets, partition_by if rows else ())
+    return rows
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
