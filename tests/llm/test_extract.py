@@ -129,3 +129,28 @@ def test_open_heads_and_math():
     assert texts("<head><title>t</title>bare text<p>c") == ["bare text", "c"]
     assert texts("<head><style>s</style><img src=i>d") == ["d"]
     assert texts("<head><title>t</title></head><p>e <math><mi>x</mi><mo>=</mo><mn>1</mn></math> f") == ["e x=1 f"]
+
+
+@pytest.mark.parametrize("page, texts", [
+    ('<p title=5">One.</p><p>Two.</p>', ["One.", "Two."]),
+    ("<p title=it's>One.</p><p>Two it's three.</p><p>Four.</p>", ["One.", "Two it's three.", "Four."]),
+    ("<p title='a > b' id=\"x>y\" data-x = 'it>s'>One.</p>", ["One."]),
+    ('<a href="x"class="y">One</a> <i =odd "q" >two</i>', ["One two"]),
+    ('<p title="never closed>One.</p>', []),
+    ("a < b <p>c</p> <3 <p / id=x/>d", ["a < b", "c", "<3", "d"]),
+])
+def test_attributes_as_browsers_read_them(page, texts):
+    assert [b.text for b in X.leaf_blocks(page)] == texts
+
+
+def test_deep_nesting_costs_no_more_than_its_length():
+    import time
+
+    page = "".join(f"<div>text {i} " for i in range(20_000))
+    start = time.process_time()
+    blocks = X.leaf_blocks(page)
+    rows = X.features(blocks)
+    assert len(blocks) == len(rows) == 20_000 and "in:div" in rows[-1]
+    page = "<b>" * 20_000 + "x</i></p>" * 2000
+    assert X.leaf_blocks(page)
+    assert time.process_time() - start < 6

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,58 +49,95 @@ SENTENCE_CHARS = 600
 EPOCHS = 250
 SEED = 5
 
-_TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
+# An attribute as browsers read it: a value is quoted only if a quote follows
+# the equals sign; else it ends at white space or the end of the tag.
+_ATTRIBUTE = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?)?"
+_TAG = re.compile(rf"<(?:!--.*?(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{_ATTRIBUTE})*+)(?:>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TOKENS = re.compile(r"[^\W_]+")
 
 
+class Node:
+    """An open element, with what it and all elements around it are called.
+
+    An element that adds no name shares its parent's, so deep nesting costs no
+    more than the names in it.
+    """
+
+    __slots__ = ("tag", "called", "parent", "block", "near", "names")
+
+    def __init__(self, tag: str, names: str, parent: Node | None):
+        self.tag, self.called, self.parent = tag, names, parent
+        self.block = tag if tag in BLOCK_TAGS or parent is None else parent.block
+        self.near = {f"near:{t}" for t in (tag, parent.tag if parent else "html") if t not in ("html", "body")}
+        own = {f"in:{tag}"} if tag not in ("html", "body") else set()
+        own.update(f"name:{n}" for n in names.split())
+        own.update(f"part:{t}" for t in _TOKENS.findall(names))
+        around = parent.names if parent else frozenset()
+        self.names = around if own <= around else around | own
+
+
 @dataclass
 class Block:
     text: str
     tag: str
-    ancestors: list[tuple[str, str]]
+    node: Node | None
     link_chars: int
 
+    @property
+    def ancestors(self) -> list[tuple[str, str]]:
+        """Tag and names of the elements around the block, outermost first."""
+        out, node = [], self.node
+        while node is not None:
+            out.append((node.tag, node.called))
+            node = node.parent
+        return out[::-1]
+
 
 def leaf_blocks(page: str | None) -> list[Block]:
     """Blocks of text in page order, references decoded, white space folded.
 
     Broken markup is read as browsers do in the common cases: unclosed
-    paragraphs, list items, cells and heads, stray end tags, unclosed comments.
+    paragraphs, list items, cells and heads, stray end tags, unclosed comments,
+    quotes in unquoted values.
     """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    stack: list[Node] = []
     pieces: list[tuple[str, bool]] = []
+    opened: Counter = Counter()
     hidden = links = at = 0
 
     def flush() -> None:
         if pieces:
             text = " ".join("".join(p for p, _ in pieces).split())
             if text:
-                own = next((t for t, _ in reversed(stack) if t in BLOCK_TAGS), "")
-                out.append(Block(text, own, list(stack), sum(len(p.strip()) for p, linked in pieces if linked)))
+                node = stack[-1] if stack else None
+                out.append(Block(text, node.block if node and node.block in BLOCK_TAGS else "", node, sum(len(p.strip()) for p, linked in pieces if linked)))
             pieces.clear()
 
     def pop(n: int) -> None:
         nonlocal hidden, links
-        for tag, _ in stack[n:]:
-            hidden -= tag in HIDDEN_TAGS
-            links -= tag == "a"
+        for node in stack[n:]:
+            hidden -= node.tag in HIDDEN_TAGS
+            links -= node.tag == "a"
+            opened[node.tag] -= 1
         del stack[n:]
 
     def end_implied(tags: set[str], scopes: frozenset[str]) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
+            if stack[i].tag in tags:
                 pop(i)
                 return
-            if stack[i][0] in scopes:
+            if stack[i].tag in scopes:
                 return
 
     while at < len(page):
         m = _TAG.search(page, at)
         end = m.start() if m else len(page)
-        if stack and stack[-1][0] == "head" and page[at:end].strip():
+        if stack and stack[-1].tag == "head" and page[at:end].strip():
             pop(len(stack) - 1)
         if end > at and not hidden:
             pieces.append((html.unescape(page[at:end]), links > 0))
@@ -113,21 +151,21 @@ def leaf_blocks(page: str | None) -> list[Block]:
             pieces.append((" ", False))
         if m[1]:
             if tag not in VOID_TAGS:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
+                for i in range(len(stack) - 1, -1, -1) if opened[tag] else ():
+                    if stack[i].tag == tag:
                         if tag in BLOCK_TAGS:
                             flush()
                         pop(i)
                         break
                     # An inline end tag does not close blocks around it.
-                    if tag not in BLOCK_TAGS and stack[i][0] in BLOCK_TAGS:
+                    if tag not in BLOCK_TAGS and stack[i].tag in BLOCK_TAGS:
                         break
                 else:
                     # Stray end tags are ignored, but a stray </p> is an empty paragraph.
                     if tag == "p":
                         flush()
             continue
-        if stack and stack[-1][0] == "head" and tag not in HEAD_TAGS:
+        if stack and stack[-1].tag == "head" and tag not in HEAD_TAGS:
             pop(len(stack) - 1)
         if tag in BLOCK_TAGS:
             flush()
@@ -144,7 +182,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         if tag in ("head", "body"):
             end_implied({"head"}, frozenset())
-        stack.append((tag, names.lower()))
+        stack.append(Node(tag, names.lower(), stack[-1] if stack else None))
+        opened[tag] += 1
         hidden += tag in HIDDEN_TAGS
         links += tag == "a"
     flush()
@@ -159,18 +198,9 @@ def features(blocks: list[Block]) -> list[list[str]]:
     """Feature names of each block: ancestors, own tag, text, neighbours' tags."""
     out, known = [], {}
     for i, b in enumerate(blocks):
-        key = tuple(b.ancestors)
+        key = id(b.node)
         if key not in known:
-            own = set()
-            for k, (tag, names) in enumerate(reversed(b.ancestors)):
-                if tag not in ("html", "body"):
-                    own.add(f"in:{tag}")
-                    if k < 2:
-                        own.add(f"near:{tag}")
-                for name in names.split():
-                    own.add(f"name:{name}")
-                own.update(f"part:{t}" for t in _TOKENS.findall(names))
-            known[key] = sorted(own)
+            known[key] = sorted(b.node.names | b.node.near) if b.node else []
         words = b.text.count(" ") + 1
         linked = b.link_chars / len(b.text)
         out.append([
