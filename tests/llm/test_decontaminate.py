@@ -94,3 +94,34 @@ def test_repeated_grams_do_not_crash():
     found = index.search(["a" * 3000, "ab" * 2000, "b" * 100])
     assert {(n, h.item, h.distance) for n, h in found} == {(0, 0, 0), (1, 1, 0)}
     assert np.all(index.need >= 1)
+
+
+def test_short_passages_are_found_as_whole_words(monkeypatch):
+    import re
+
+    short = D.Short(["short text item", "über 9", "a", "x-y", "漢字"])
+    texts = ["A Short\n text ITEM here", "short text items", "Über 9", "über 91", "b a", "ab ba", "(x-y)", "x-yz", None, "", "漢字", "漢字漢字", "a a a"]
+    want = set()
+    for n, t in enumerate(texts):
+        t = D.normalize(t)
+        for i, p in enumerate(short.passages):
+            at = [m.start() for m in re.finditer(f"(?={re.escape(p)})", t) if not ((t[m.start() - 1 : m.start()].isalnum() and p[0].isalnum()) or (p[-1].isalnum() and t[m.start() + len(p) : m.start() + len(p) + 1].isalnum()))]
+            if at:
+                want.add((n, i, at[0]))
+    for piece in (1 << 18, 5):
+        monkeypatch.setattr(D, "PIECE", piece)
+        assert {(n, h.item, h.start) for n, h in short.search(texts)} == want
+    assert {(0, 0, 2), (2, 1, 0), (4, 2, 2), (6, 3, 1), (10, 4, 0)} <= want and not any(n in (1, 3, 7, 8, 9, 11) for n, _, _ in want)
+
+
+def test_short_and_repeated_items_in_the_frame(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "there is a short text item inside"), (2, "short text items"), (3, None)], "doc_id long, text string")
+    copies = [(i, "short  text ITEM") for i in range(300)] + [(900, "nothing of it"), (901, " "), (902, None)]
+    bench = spark.createDataFrame(copies, "item_id int, text string")
+    got = D.find_passages(docs, bench)
+    assert sorted(map(tuple, got.collect())) == [(1, i, 11, 26, 0) for i in range(300)]
+    built = []
+    monkeypatch.setattr(D, "Short", lambda passages: built.append(passages) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        D.find_passages(docs, bench)
+    assert built == [["nothing of it", "short text item"]]

@@ -6,6 +6,7 @@ position minus passage position) that span e + 1 values. Shared q-grams are
 counted in bands of 2 (e + 1) diagonals that overlap by half, so one band
 holds them all. Bands that reach the bound are verified by banded alignment,
 which gives the edit distance and the region; the filter loses no match.
+Passages too short for the lemma are found exactly, as whole words.
 
 Texts and passages are compared after lower-casing and with each run of white
 space as one space.
@@ -20,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import chunks
+from voltaic.llm.common import chunks, cut, per_text
 
 #: Length of a q-gram, and edits allowed as a share of a passage's characters.
 Q = 8
 EDIT_RATE = 0.1
-#: Shorter passages (after normalization) are not distinctive and not searched.
+#: Shorter passages (after normalization) have too few q-grams for the lemma;
+#: they are searched exactly, between word boundaries.
 MIN_CHARS = 24
 #: Characters of benchmark that are searched for at one time; each such block
 #: is sent to the executors, so this bounds the broadcast.
@@ -216,6 +218,44 @@ class Index:
         return sorted(((doc, hit) for (doc, _), hit in found.items()), key=lambda x: (x[0], x[1].item))
 
 
+class Short:
+    """Short passages, by length and hash, to be found as whole words."""
+
+    def __init__(self, passages: list[str]):
+        self.passages = passages
+        self.sizes = {}
+        for m in sorted({len(p) for p in passages}):
+            own = [i for i, p in enumerate(passages) if len(p) == m]
+            h = np.array([grams(codes(passages[i]), m)[0] for i in own], np.uint64)
+            order = np.argsort(h)
+            self.sizes[m] = h[order], np.array(own)[order]
+
+    def search(self, texts: list[str | None]) -> list[tuple[int, Hit]]:
+        """The first place of each passage in each text, as (text number, hit)."""
+        out = []
+        for n, t in enumerate(texts if self.sizes else []):
+            t = normalize(t)
+            word = lambda i: 0 <= i < len(t) and t[i].isalnum()  # noqa: B023, E731
+            found: dict[int, Hit] = {}
+            for offset in range(0, len(t), PIECE):
+                points = codes(t[offset : offset + PIECE + MIN_CHARS])
+                for m, (keys, own) in self.sizes.items():
+                    h = grams(points, m)
+                    first = np.searchsorted(keys, h)
+                    for a in np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == h).tolist():
+                        start = offset + a
+                        if word(start - 1) and word(start) or word(start + m - 1) and word(start + m):
+                            continue
+                        k = int(first[a])
+                        while k < len(keys) and keys[k] == h[a]:
+                            i = int(own[k])
+                            if i not in found and self.passages[i] == t[start : start + m]:
+                                found[i] = Hit(i, start, start + m, 0)
+                            k += 1
+            out += [(n, found[i]) for i in sorted(found)]
+        return out
+
+
 def find_passages(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
     q: int = Q, rate: float = EDIT_RATE, detail: bool = False,
@@ -225,50 +265,51 @@ def find_passages(
     One row per input row and passage that occurs in it within the edit
     budget: ``key``, ``item_key``, ``start``, ``end`` (code points of the
     normalized text) and ``distance`` of the best region (least distance, then
-    first). NULL and empty texts hold nothing; NULL passages and those under
-    ``MIN_CHARS`` characters are not searched; of repeated passage rows each
-    is searched. Empty tables give an empty result. The benchmark is searched
-    in blocks of about ``BLOCK_CHARS`` characters, so that what is sent to the
-    executors stays bounded however large it is. With ``detail``, ``__hash``
-    (of the document's text) follows.
+    first). A passage under ``MIN_CHARS`` characters must occur exactly, with
+    no letter or digit going on at either end. NULL and empty texts hold
+    nothing, and NULL and empty passages are in none; repeated passages are
+    searched once and each of their rows is reported. Empty tables give an
+    empty result. Distinct passages are searched in blocks of about
+    ``BLOCK_CHARS`` characters, so that what is collected and sent to the
+    executors stays bounded however large the benchmark is. With ``detail``,
+    ``__hash`` (of the document's text) follows.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(f"`{item_key}`").alias("k"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
+    items = cut(per_text(items, "t", ["k"], "p string", lambda texts: [pa.array([normalize(t) for t in texts], pa.string())]).where("p <> ''"))
+    passages = cut(items.select("p").distinct().select(F.monotonically_increasing_id().alias("i"), "p"))
+    chars = passages.agg(F.sum(F.length("p"))).first()[0] or 0
     n_blocks = -(-chars // BLOCK_CHARS)
     source = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"), F.xxhash64(F.col(f"`{text}`")).alias("h"))
-    schema = f"k {source.schema['k'].dataType.simpleString()}, i {items.schema['k'].dataType.simpleString()}, start long, end long, distance long, h long"
+    schema = f"k {source.schema['k'].dataType.simpleString()}, i long, start long, end long, distance long, h long"
     out = None
     for block in range(n_blocks):
-        own = items.where(F.expr(f"pmod(xxhash64(t), {n_blocks}) = {block}")).orderBy("k", "t").collect()
-        own = [(r.k, p) for r in own if len(p := normalize(r.t)) >= MIN_CHARS]
+        own = passages.where(F.expr(f"pmod(xxhash64(p), {n_blocks}) = {block}")).orderBy("p").collect()
+        long, short = ([r for r in own if (len(r.p) < MIN_CHARS) is less] for less in (False, True))
         if not own:
             continue
-        shared = spark.sparkContext.broadcast((Index([p for _, p in own], q, rate), pa.array([k for k, _ in own], type=_arrow(items))))
+        shared = spark.sparkContext.broadcast([(kind([r.p for r in rows]), np.array([r.i for r in rows], np.int64)) for kind, rows in (((lambda p: Index(p, q, rate)), long), (Short, short)) if rows])
 
         def run(batches, shared=shared):
-            index, ids = shared.value
             for part in chunks(batches, "t"):
-                hits = index.search(part.column(1).to_pylist())
-                rows = pa.array([n for n, _ in hits], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(rows), ids.take(pa.array([h.item for _, h in hits], pa.int64()))]
-                    + [pa.array([getattr(h, f) for _, h in hits], pa.int64()) for f in ("start", "end", "distance")]
-                    + [part.column(2).take(rows)],
-                    names=["k", "i", "start", "end", "distance", "h"],
-                )
+                texts = part.column(1).to_pylist()
+                for index, ids in shared.value:
+                    hits = index.search(texts)
+                    rows = pa.array([n for n, _ in hits], pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(rows), pa.array(ids[[h.item for _, h in hits]] if hits else [], pa.int64())]
+                        + [pa.array([getattr(h, f) for _, h in hits], pa.int64()) for f in ("start", "end", "distance")]
+                        + [part.column(2).take(rows)],
+                        names=["k", "i", "start", "end", "distance", "h"],
+                    )
 
         found = source.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     out = spark.createDataFrame([], schema) if out is None else out
+    named = items.join(passages, "p").select("i", F.col("k").alias("item"))
+    out = out.join(named, "i").select("k", "item", "start", "end", "distance", "h")
     out = out.withColumnRenamed("h", "__hash") if detail else out.drop("h")
-    return out.withColumnsRenamed({"k": key, "i": item_key})
-
-
-def _arrow(items: DataFrame) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(items.schema["k"].dataType)
+    return out.withColumnsRenamed({"k": key, "item": item_key})
 
 
 def drop_contaminated(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
