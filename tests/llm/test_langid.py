@@ -84,3 +84,10 @@ def test_edge_rows(spark):
     assert sum(r.lang_pred == "und" for r in got) == 3
     assert L.learn_and_identify(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred = 'und'").count() == 5
     assert L.learn_and_identify(docs.limit(0)).count() == 0
+
+
+def test_many_languages_are_no_error(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 2)
+    rows = [(i, "some text here", ["aa", "bb", "bb", "cc", "cc", "cc"][i % 6]) for i in range(200)]
+    got = L.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {lang for lang, _ in got} == {"bb", "cc"}

@@ -234,13 +234,12 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     Takes rows with a language whose key has crc32 mod 5 other than 0. A
     language with more than ``SAMPLE_DOCS`` rows gives about that many, picked
-    by a hash; a hard bound of twice the expected total follows.
+    by a hash; a hard bound of twice the expected total follows. If there are
+    more than ``MAX_LANGUAGES``, those with the most rows are learned.
     """
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l"))
     rows = rows.where(F.col("l").isNotNull() & F.col("t").isNotNull() & (fold("k", 5) != 0))
-    sizes = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(MAX_LANGUAGES).collect()}
     if not sizes:
         return []
     rate = F.create_map(*[F.lit(x) for l, n in sorted(sizes.items()) for x in (l, min(1.0, SAMPLE_DOCS / n))])
