@@ -1,4 +1,3 @@
-import hashlib
 import random
 from collections import defaultdict
 
@@ -11,23 +10,16 @@ from voltaic.llm.common import read
 SF = "/root/testdata/sf0.001"
 
 
-def plain(rows, divisor=L.DIVISOR, window=L.WINDOW):
+def plain(rows):
     """The rule in plain Python over (key, text) rows with distinct keys."""
     seen, drops = {}, defaultdict(set)
     for key, text in sorted(((k, t) for k, t in rows if t is not None), key=lambda x: (x[0] is not None, x[0])):
         lines = text.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        start = 0
-        for i in range(len(lines)):
-            rolled = sum(h[i - k] * L.BASE**k for k in range(window) if i >= k)
-            if rolled % divisor == 0 or i == len(lines) - 1:
-                own = lines[start : i + 1]
-                if sum(x.strip(" ") != "" for x in own) >= L.MIN_LINES:
-                    if "\n".join(own) in seen:
-                        drops[key] |= set(range(start, i + 1))
-                    else:
-                        seen["\n".join(own)] = key
-                start = i + 1
+        full = [i for i, x in enumerate(lines) if x.strip(" ")]
+        for i, j in zip(full, full[1:]):
+            first = seen.setdefault(tuple(lines[i : j + 1]), (key, i, j))
+            if first != (key, i, j):
+                drops[key] |= set(range(max(i, first[2] + 1) if first[0] == key else i, j + 1))
     out = []
     for key, text in rows:
         if text is None:
@@ -58,12 +50,43 @@ def test_equals_plain_python(spark, rows):
     assert sum(r[3] > 0 for r in plain(rows)) > 30
 
 
-def test_boundaries_resist_shifts(spark, rows):
-    """Text in front of a passage changes no chunk that starts past the window."""
-    base = [f"passage {i}" for i in range(60)]
-    texts = ["\n".join(base), "\n".join(["new", "front"] + base)]
-    got = L.clean(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
-    assert got[0].n_removed == 0 and got[1].n_removed >= 40
+def test_foreign_text_hides_no_passage(spark):
+    """Planted passages go, whatever their length; clean lines stay."""
+    rng = random.Random(8)
+    own = lambda k, n: [f"own line {k} {i} {rng.random()}" for i in range(n)]
+    rows, planted = [], []
+    for p in range(200):
+        size = (2, 3, 5, 10)[p % 4]
+        passage = [f"passage {p} line {i}" for i in range(size)]
+        for copy in range(2):
+            k = 2 * p + copy
+            rows.append((k, "\n".join(own(k, rng.randint(0, 5)) + passage + own(k + 0.5, rng.randint(0, 5)))))
+        planted.append((2 * p + 1, size))
+    got = {r.doc_id: r for r in L.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k].n_removed for k in got if got[k].n_removed} == dict(planted)
+    assert all("passage" not in got[k].text and got[k].text.count("own line") == dict(rows)[k].count("own line") for k, _ in planted)
+
+
+def test_a_larger_divisor_takes_a_share_of_the_chunks(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = [L.drop_repeated_chunks(df, divisor=d).agg({"__removed": "sum"}).first()[0] for d in (1, 2, 8)]
+    assert removed[0] > removed[1] > removed[2] > 0
+
+
+def test_chunks_that_share_a_hash_are_told_apart(spark, rows, monkeypatch):
+    real = L.F.xxhash64
+    monkeypatch.setattr(L.F, "xxhash64", lambda *c: L.F.pmod(real(*c), L.F.lit(7)) if len(c) == 3 else real(*c))
+    got = L.clean(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(plain(rows), key=str)
+
+
+def test_clashing_names_stay(spark):
+    names = "doc_id long, text string, k int, h string, __h int, __drops int, `x.y` int, drops int, row int, s struct<`a b`: int>"
+    rows = [(1, "a\nb\nc", 1, "h", 2, 3, 4, 5, 6, (7,)), (2, "a\nb\nd", 1, "h", 2, 3, 4, 5, 6, (7,))]
+    out = L.drop_repeated_chunks(spark.createDataFrame(rows, names))
+    assert out.columns == ["doc_id", "text", "k", "h", "__h", "__drops", "x.y", "drops", "row", "s", "__left", "__removed"]
+    got = sorted(map(tuple, out.collect()))
+    assert [r[:2] + r[2:9] + (r[9][0],) + r[10:] for r in got] == [(1, "a\nb\nc", 1, "h", 2, 3, 4, 5, 6, 7, 3, 0), (2, "d", 1, "h", 2, 3, 4, 5, 6, 7, 1, 2)]
 
 
 def test_repeated_rows_keys_and_columns(spark):

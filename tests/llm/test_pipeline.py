@@ -70,7 +70,7 @@ def test_empty_and_odd_tables(spark):
 def test_registered():
     queries = __spark_entry__.queries()
     assert set(QUERIES) < set(queries) and queries["pipeline"] is P.run
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
