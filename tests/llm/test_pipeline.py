@@ -92,3 +92,14 @@ def test_null_and_repeated_ids_stay_apart(spark):
     assert all(min(m)[:2] in {x[:2] for x in m if x in got} for m in want.values())
     clean = stages["benchmark_decontamination"](spark, docs, SF)
     assert sorted((str(r.doc_id), r.text) for r in clean.collect()) == sorted((str(k), t) for k, t in data if leak not in t)
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    docs = read(spark, SF, "documents").limit(60)
+    odd = ["__h", "__drops", "__hash", "__score", "__left", "__removed", "x.y", "others", "c0", "k", "none"]
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in odd])
+    for name, stage in P.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = [r.asDict() for r in out.collect()]
+        assert got and all(r[c] == f"{c}{r['doc_id']}" for r in got for c in odd), name
