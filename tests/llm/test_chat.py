@@ -77,3 +77,29 @@ def test_repeated_and_null_rows(spark):
     got = {r.conv_id: r for r in C.read_back(C.format_log(C.events_of(df))).collect()}
     assert got[5].n_turns == 4 and got[5].turns_sha256 == hashlib.sha256(b"user\na\nuser\nb\nuser\nb\n\n\n").hexdigest()
     assert got[None].n_turns == 1 and got[6].loss_chars == 500_000
+
+
+def test_null_and_equal_turns_are_many_blocks(spark, monkeypatch):
+    """Blocks follow the rank of a message: NULL or equal turns are no one group."""
+    monkeypatch.setattr(C, "BLOCK_TURNS", 100)
+    rows = [(1, None, "user", f"{i % 700:04d}") for i in range(1500)] + [(1, 3, "assistant", "same") for _ in range(1200)] + [(1, 10_000_000, "user", "end"), (2, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    blocks = C.format_log(C.events_of(df))
+    assert blocks.where("conv_id = 1").count() >= 28 and blocks.agg({"n_turns": "max"}).first()[0] == 100
+    got = {r.conv_id: r for r in C.read_back(blocks).collect()}
+    order = sorted(rows[:-1], key=lambda r: (-1 if r[1] is None else r[1], r[2], r[3]))
+    assert got[1].n_turns == 2701 and got[1].loss_chars == 4800
+    assert got[1].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in order).encode()).hexdigest()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert {r.conv_id: r for r in C.read_back(C.format_log(C.events_of(df))).collect()} == got
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_long_turns_close_blocks(spark, monkeypatch):
+    monkeypatch.setattr(C, "BATCH_CHARS", 1000)
+    df = spark.createDataFrame([(1, i, "user", "y" * 600) for i in range(10)], "conv_id long, turn long, role string, text string")
+    blocks = C.format_log(C.events_of(df))
+    assert blocks.agg({"n_turns": "max"}).first()[0] == 2
+    assert C.read_back(blocks).first().n_turns == 10

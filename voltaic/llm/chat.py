@@ -8,9 +8,10 @@ starts the text anew, ``delete`` removes the message. Folded messages are
 rendered by a template whose control strings are escaped inside texts, so the
 output can be read back exactly.
 
-Tasks stream: a task holds one message and one rendered block at a time. A
-conversation is rendered in blocks of ``BLOCK_TURNS`` turns, which are the
-unit of partitioning, so a very long conversation spreads over tasks.
+Tasks stream: a task holds one message and one rendered block at a time. The
+log is partitioned by ranges of (conversation, turn, part), so a very long
+conversation spreads over tasks, whatever its turn numbers are. A task closes a
+block after ``BLOCK_TURNS`` messages or ``BATCH_CHARS`` characters.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -101,46 +103,55 @@ def format_log(events: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
     ``seq``, then kind, role and text, so ties have one result; repeated
     events are applied as often as they occur. NULL turns come first; a NULL
     conversation is one of its own; NULL roles and texts are empty. Returns,
-    per conversation and block of turns: ``conv_id``, ``block`` (order of the
-    blocks), ``n_turns``, ``formatted`` and ``loss_spans`` (start and end
-    code points in ``formatted``). A conversation without a message has no
-    row; an empty log gives an empty result.
+    per conversation and block of turns: ``conv_id``, ``block`` (numbers in
+    the order of the blocks, with gaps; below 0 where turns are NULL),
+    ``n_turns``, ``formatted`` and ``loss_spans`` (start and end code points
+    in ``formatted``). A conversation without a message has no row; an empty
+    log gives an empty result. One task folds all events of one message.
     """
     conv = events.schema["conv_id"].dataType.simpleString()
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-1)).cast("long")
-    source = events.select(*EVENTS[:4], *[F.col(c).cast("string").alias(c) for c in EVENTS[4:]]).withColumn("block", block)
-    order = ["conv_id", "block", "turn", "part", "seq", "kind", "role", "text"]
-    source = source.repartition("conv_id", "block").sortWithinPartitions(*order).select("conv_id", "block", "turn", "part", "kind", "role", "text")
+    source = events.select(*EVENTS[:4], *[F.col(c).cast("string").alias(c) for c in EVENTS[4:]])
+    source = source.repartitionByRange("conv_id", "turn", "part").sortWithinPartitions("conv_id", "turn", "part", "seq", "kind", "role", "text")
+    source = source.select("conv_id", "turn", "part", "kind", "role", "text")
+    most_turns, most_chars = BLOCK_TURNS, BATCH_CHARS
 
     def run(batches):
-        now, message, own, turns = None, None, [], []
+        now, message, own, turns, held = None, None, [], [], 0
+        # Partitions are in the order of the log, and so are blocks within one.
+        number = TaskContext.get().partitionId() << 32
 
         def rows():
             for batch in chunks(batches, "text"):
                 yield from zip(*[c.to_pylist() for c in batch.columns])
 
         def close():
+            nonlocal held
             if own and (done := fold(own)) is not None:
                 turns.append(done)
+                held += len(done[0]) + len(done[1])
             own.clear()
 
         def finish():
-            close()
+            nonlocal held, number
             out = []
             if turns:
                 text, spans = render(turns, loss_role)
-                out.append((*now, len(turns), text, [{"start": a, "end": b} for a, b in spans]))
+                at = number - (1 << 62) if now[1] else number
+                out.append((now[0], at, len(turns), text, [{"start": a, "end": b} for a, b in spans]))
                 turns.clear()
+            held = 0
+            number += 1
             return out
 
-        for c, b, turn, part, kind, role, text in rows():
-            if now != (c, b):
-                yield from finish()
-                now, message = (c, b), None
-            if message != (turn, part):
+        for c, turn, part, kind, role, text in rows():
+            if message != (c, turn, part):
                 close()
-                message = (turn, part)
+                message = (c, turn, part)
+                if now != (c, turn is None) or len(turns) >= most_turns or held >= most_chars:
+                    yield from finish()
+                    now = (c, turn is None)
             own.append((kind, role, text))
+        close()
         yield from finish()
 
     schema = f"conv_id {conv}, block long, n_turns long, formatted string, loss_spans array<struct<start:int,end:int>>"
@@ -173,11 +184,14 @@ def events_of(conversations: DataFrame) -> DataFrame:
 
     Each row becomes a ``message`` event with its role and a ``delta`` event
     with its text. Rows that share a turn stay messages of their own, ordered
-    by role and text.
+    by role and text. Rows are numbered in that order by a sort in ranges,
+    which the number of a row as read splits where rows are alike, so no turn,
+    NULL included, is one group.
     """
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    own = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    rows = rows.withColumn("part", F.row_number().over(own).cast("long"))
+    order = ["conv_id", "turn", "role", "text"]
+    rows = rows.withColumn("read", F.monotonically_increasing_id()).repartitionByRange(*order, "read").sortWithinPartitions(*order, "read")
+    rows = rows.select("conv_id", "turn", F.monotonically_increasing_id().alias("part"), "role", "text")
     null = F.lit(None).cast("string")
     event = lambda seq, kind, role, text: F.struct(F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
     return rows.select("conv_id", "turn", "part", F.inline(F.array(event(0, "message", F.col("role"), null), event(1, "delta", null, F.col("text")))))
