@@ -49,6 +49,21 @@ def test_long_text_in_blocks(vocabulary, reference, monkeypatch):
     assert vocabulary.coder().encode([text]) == [want]
 
 
+def test_cache_is_bounded_and_keeps_no_long_word(vocabulary, reference, monkeypatch):
+    rng = np.random.default_rng(2)
+    blobs = ["".join(rng.choice(list("abcdefgh"), 20_000)) for _ in range(6)]
+    coder = vocabulary.coder()
+    got = coder.encode([b + " it's 12 " + b[:65] for b in blobs])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [reference.encode_ordinary(b + " it's 12 " + b[:65]) for b in blobs]
+    assert max(map(len, coder.new)) <= bpe.BATCH_BYTES
+    assert coder.held == sum(len(w) + len(x) for w, x in coder.new.items())
+    monkeypatch.setattr(bpe, "CACHE_SIZE", 50)
+    for i in range(20):
+        words = " ".join(f"qz{i}x{j}" for j in range(9))
+        assert np.frombuffer(coder.encode([words])[0], "<u4").tolist() == reference.encode_ordinary(words)
+        assert coder.held <= 50 + sum(len(w) + len(x) for w, x in coder.new.items()) and len(coder.new) < 60 and len(coder.old) < 60
+
+
 def test_frame(spark, vocabulary, reference):
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, "ab", "y"), (1, "", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, token_ids string")

@@ -14,6 +14,7 @@ a scalar tree with the same updates.
 from __future__ import annotations
 
 import base64
+from array import array
 from itertools import islice
 
 import numpy as np
@@ -27,8 +28,10 @@ from voltaic.llm.common import per_text
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 BATCH_BYTES = 64
-#: Words that a task remembers in each of two generations of its cache.
+#: Words, and characters and bytes of ids, that a task remembers in each of two
+#: generations of its cache. Words over ``BATCH_BYTES`` long are not remembered.
 CACHE_WORDS = 200_000
+CACHE_SIZE = 16 << 20
 #: Characters above which a text is matched and hashed in blocks of words.
 BLOCK_CHARS = 1 << 20
 NONE = np.int64(1 << 62)
@@ -88,6 +91,7 @@ class Coder:
         self.pairs = dict(zip(vocabulary.pair_keys.tolist(), vocabulary.pair_ids.tolist()))
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     # ---- pairs -----------------------------------------------------------
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -156,9 +160,11 @@ class Coder:
         levels = [leaves]
         while len(levels[-1]) > 1:
             levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
-        tree = [none] + [x for level in reversed(levels) for x in level.tolist()]
-        ids = ids.tolist()
-        following, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        # Flat arrays: about 45 bytes a byte of the word.
+        tree = array("q", np.concatenate([[NONE], *reversed(levels)]).tobytes())
+        del levels, leaves, rank
+        ids = array("i", ids.astype(np.int32).tobytes())
+        following, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
 
         def put(at: int, left: int, right: int) -> None:
             joined = pairs.get(left * size + right)
@@ -211,33 +217,52 @@ class Coder:
                 out.update(zip((w for w, _ in part), self._encode_batch([raw for _, raw in part], width)))
         return out
 
-    def _known(self, words: list[str]) -> None:
+    def _known(self, words: list[str]) -> dict[str, bytes]:
+        """Remember the ids of short words; the ids of all long ones."""
         new, old = self.new, self.old
         miss = {w for w in words if w not in new}
         if not miss:
-            return
+            return {}
         for w in [w for w in miss if w in old]:
-            new[w] = old[w]
+            self._remember(w, old[w])
             miss.discard(w)
-        new.update(self.encode_words(list(miss)))
+        long = {}
+        for w, ids in self.encode_words(list(miss)).items():
+            if len(w) > BATCH_BYTES:
+                long[w] = ids
+            else:
+                self._remember(w, ids)
+        return long
+
+    def _remember(self, word: str, ids: bytes) -> None:
+        self.new[word] = ids
+        self.held += len(word) + len(ids)
 
     def _turn(self) -> None:
-        if len(self.new) > CACHE_WORDS:
-            self.old, self.new = self.new, {}
+        if len(self.new) > CACHE_WORDS or self.held > CACHE_SIZE:
+            self.old, self.new, self.held = self.new, {}, 0
+
+    def _join(self, words: list[str], long: dict[str, bytes]) -> bytes:
+        if not long:
+            return b"".join(map(self.new.__getitem__, words))
+        return b"".join([long[w] if w in long else self.new[w] for w in words])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; NULL encodes as the empty text."""
         self._turn()
         split = [self.find.findall(t) if t and len(t) <= BLOCK_CHARS else [] for t in texts]
-        self._known([w for words in split for w in words])
-        get = self.new.__getitem__
-        return [b"".join(map(get, words)) if not t or len(t) <= BLOCK_CHARS else self._encode_blocks(t) for t, words in zip(texts, split)]
+        long = self._known([w for words in split for w in words])
+        # Blocks of a long text may turn the cache, so they come last.
+        out = [self._join(words, long) for words in split]
+        for i, t in enumerate(texts):
+            if t and len(t) > BLOCK_CHARS:
+                out[i] = self._encode_blocks(t)
+        return out
 
     def _encode_blocks(self, text: str) -> bytes:
         parts, matches = [], (m.group() for m in self.find.finditer(text))
         while words := list(islice(matches, 1 << 16)):
-            self._known(words)
-            parts.append(b"".join(map(self.new.__getitem__, words)))
+            parts.append(self._join(words, self._known(words)))
             self._turn()
         return b"".join(parts)
 
