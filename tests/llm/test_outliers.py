@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from voltaic.llm import outliers as O
 from voltaic.llm.common import read
@@ -68,6 +69,40 @@ def test_estimates_equal_steps_in_one_place(spark):
         assert np.allclose(O._square(got.loc[[g]], O._INVERSE)[0], want)
 
 
+def test_estimates_of_several_blocks(spark):
+    """Blocks averaged and refined over all rows, against the same in numpy."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 3, (900, 4)) * np.where(rng.random((900, 1)) < 0.1, 8, 1)
+    rows = spark.createDataFrame([(i, ["2a", "0"] if i < 500 else ["2b", "0"], *map(float, v)) for i, v in enumerate(x)], "id long, levels array<string>, x0 double, x1 double, x2 double, x3 double")
+    got = O.estimates(rows, min_group=10, block=150, steps=2).toPandas().set_index("g")
+    h = rows.selectExpr("pmod(xxhash64(id, x0, x1, x2, x3, cast(null as bigint)), 1 << 30) as h").toPandas().h.to_numpy()
+    for g, own in (("2a", np.arange(900) < 500), ("2b", np.arange(900) >= 500), ("0", np.ones(900, bool))):
+        v, at = x[own], h[own] % -(-own.sum() // 150)
+        assert len(set(at)) > 2
+        parts = [O.block_mcd(v[at == b]) for b in sorted(set(at))]
+        mean, cov = np.mean([p[0] for p in parts], 0), np.mean([p[1] for p in parts], 0)
+        for _ in range(2):
+            d = (((v - mean) @ np.linalg.inv(cov)) * (v - mean)).sum(1)
+            near = v[d <= np.sort(d)[int(np.ceil(O.SUPPORT * len(v))) - 1]]
+            mean, cov = near.mean(0), np.cov(near.T, bias=True) * O.inflation() + np.eye(4)
+        assert np.allclose(got.loc[g, O._MEAN].astype(float), mean)
+        assert np.allclose(O._square(got.loc[[g]], O._INVERSE)[0], np.linalg.inv(cov))
+
+
+def test_hot_group_meets_in_slices(spark):
+    """No task of a join holds a group whole."""
+    rows = spark.range(20000).select(F.lit("0").alias("g"), F.xxhash64("id").alias("h"))
+    one = spark.createDataFrame([("0", 7)], "g string, n int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = O.beside(rows, one, "g", F.col("h")).where("n = 7").groupBy(F.spark_partition_id().alias("p")).count().toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks["count"].sum() == 20000 and tasks["count"].max() < 10000
+
+
 def test_verdicts_on_documents(spark):
     docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
     got = O.judge(docs, min_group=50).join(labels, "doc_id").toPandas()

@@ -9,8 +9,9 @@ lies from the bulk of its group: a squared Mahalanobis distance beyond the
 The estimate follows the nested scheme for large samples. Every group is dealt
 into blocks of bounded size, each block finds its own h-subset by
 concentration steps, the block estimates are averaged, and full concentration
-steps over all rows of the group refine the average. So no group, however
-large, meets in one task, and every row takes part.
+steps over all rows of the group refine the average. Sizes and estimates meet
+their group's rows in slices. So no group, however large, meets in one task,
+and every row takes part.
 
 Estimates add the unit matrix to a covariance. ``judge`` first puts every axis
 in units in which that floor is ``RIDGE`` of the axis's robust variance over
@@ -45,6 +46,8 @@ SUPPORT = 0.75
 BLOCK = 2000
 MIN_GROUP = 100
 STEPS = 2
+#: Slices in which the rows of a group meet its one row of sizes or estimates.
+SLICES = 256
 #: Share of an axis's robust variance over all rows that the unit floor is.
 RIDGE = 0.01
 #: Chi-square quantile beyond which a vector is an outlier.
@@ -194,15 +197,30 @@ def _square(frame: pd.DataFrame, names: list[str]) -> np.ndarray:
     return out
 
 
+def beside(rows: DataFrame, groups: DataFrame, on: str, spread: Column, how: str = "inner") -> DataFrame:
+    """``rows`` with the row of their group, ``groups`` having one row per group.
+
+    A group may hold all rows, so its row is repeated for every slice, and
+    rows meet it by group and slice (from the long column ``spread``).
+    """
+    sliced = groups.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    own = rows.withColumn("slice", F.pmod(spread, F.lit(SLICES)).cast("int"))
+    return own.join(sliced, [on, "slice"], how).drop("slice")
+
+
 def estimates(rows: DataFrame, min_group: int = MIN_GROUP, block: int = BLOCK, steps: int = STEPS) -> DataFrame:
     """MCD estimate of each group: ``g``, mean and inverse covariance columns.
 
     ``rows`` has ``levels`` (array of group keys), ``id`` (any hashable
     column that spreads rows) and the vector ``x0``...
     """
-    long = rows.select(F.explode("levels").alias("g"), F.pmod(F.xxhash64("id", *_X), F.lit(1 << 30)).alias("h"), *_X)
+    # Rows without an id may be alike, so these are told apart as they are read.
+    hashed = F.xxhash64("id", *_X, F.when(F.col("id").isNull(), F.monotonically_increasing_id()))
+    long = rows.withColumn("h", F.pmod(hashed, F.lit(1 << 30))).select(F.explode("levels").alias("g"), "h", *_X)
     sizes = cut(long.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") >= min_group))
-    dealt = long.join(sizes, "g").withColumn("block", F.col("h") % F.ceil(F.col("n") / block))
+    # Slices take other bits of the hash than blocks do.
+    spread = F.shiftright("h", 20)
+    dealt = beside(long, sizes, "g", spread).withColumn("block", F.col("h") % F.ceil(F.col("n") / block))
 
     def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         mean, cov = block_mcd(frame[_X].to_numpy())
@@ -223,9 +241,9 @@ def estimates(rows: DataFrame, min_group: int = MIN_GROUP, block: int = BLOCK, s
 
     now = cut(start.mapInPandas(invert, f"g string, {_ESTIMATE}"))
     for _ in range(steps):
-        far = long.join(now, "g").select("g", *_X, _distance().alias("d"))
+        far = beside(long, now, "g", spread).select("g", "h", *_X, _distance().alias("d"))
         edge = far.groupBy("g").agg(F.percentile_approx("d", F.lit(SUPPORT), F.lit(10000)).alias("edge"))
-        near = far.join(edge, "g").where("d <= edge")
+        near = beside(far, edge, "g", spread).where("d <= edge")
         sums = near.groupBy("g").agg(*[F.avg(x).alias(m) for x, m in zip(_X, _MEAN)], *[F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(s) for (i, j), s in zip(_PAIRS, _INVERSE)])
         now = cut(sums.mapInPandas(moments, f"g string, {_ESTIMATE}"))
     return now
@@ -261,8 +279,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     estimate = estimates(rows, min_group)
     # Which estimate each group of the finest level uses; one row per group.
     groups = stats.select("__levels").distinct().select("__levels", F.posexplode("__levels").alias("level", "g"))
-    chosen = groups.join(estimate, "g").groupBy("__levels").agg(F.min_by(F.struct(*_MEAN, *_INVERSE), "level").alias("e")).select("__levels", "e.*")
-    judged = stats.join(cut(chosen), "__levels", "left").withColumn("d", F.when(~F.col("failed"), _distance()))
+    chosen = beside(groups, estimate, "g", F.xxhash64("__levels")).groupBy("__levels").agg(F.min_by(F.struct(*_MEAN, *_INVERSE), "level").alias("e")).select("__levels", "e.*")
+    judged = beside(stats, cut(chosen), "__levels", F.xxhash64("__key", *_X), "left").withColumn("d", F.when(~F.col("failed"), _distance()))
     fine = F.coalesce(F.col("d") <= chi2_quantile(CUTOFF, DIM), F.lit(True))
     return judged.select(
         F.col("__key").alias(key), *[out[c].alias(c) for c in COUNTS], F.col("failed").alias("base_failed"), (~F.col("failed") & fine).alias("kept"), F.col("d").alias("distance")
