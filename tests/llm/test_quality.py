@@ -62,3 +62,13 @@ def test_edge_rows(spark):
     some = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1)], "doc_id long, quality int")
     assert all(0 <= r.score <= 1 for r in quality.classify(docs, some).collect())
     assert quality.classify(docs.limit(0), some).count() == 0
+
+
+def test_keep_good_keeps_columns_of_any_name(spark):
+    docs, labels = read(spark, SF, "documents").limit(150), read(spark, SF, "labels")
+    odd = docs.select("*", F.struct(F.col("lang").alias("a b"), F.lit(1).alias("c.d")).alias("__score"), F.lit(2).alias("x.y"), F.create_map(F.lit("k"), F.lit(1)).alias("stats"))
+    kept = quality.keep_good(odd, labels)
+    assert kept.schema == odd.schema
+    want = {r.doc_id for r in quality.classify(docs, labels).where("score >= 0.7").collect()}
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == want and want and all(r["__score"]["a b"] == r.lang for r in rows)

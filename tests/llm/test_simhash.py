@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 import pandas as pd
 import pytest
 import xxhash
@@ -113,3 +114,13 @@ def test_empty_and_keep_one(spark):
     kept = simhash.keep_one(docs, simhash.simhash_groups(docs))
     assert sorted(map(tuple, kept.collect()), key=str) == [(1, "a b c"), (2, "a b"), (3, "z"), (None, "q r s t")]
     assert simhash.simhash_groups(docs.limit(0)).count() == 0
+
+
+def test_keep_one_of_repeated_rows(spark):
+    """Of rows with one key and text the one with the least hash stays, in any order."""
+    rows = [(1, "a b c d", "x", {"m": 1}), (1, "a b c d", "y", {"m": 2}), (1, "a b c d", "z", {"m": 3}), (2, "a b c d", "w", None), (None, "q r s t", "n", None), (None, "q r s t", "o", None), (9, "lone text of its own", "l", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `odd name.x` string, tags map<string,int>")
+    got = sorted(map(str, simhash.keep_one(docs, simhash.simhash_groups(docs, detail=True)).collect()))
+    assert len(got) == 3 and simhash.keep_one(docs, simhash.simhash_groups(docs, detail=True)).columns == docs.columns
+    turned = docs.orderBy(F.desc("`odd name.x`")).repartition(3)
+    assert sorted(map(str, simhash.keep_one(turned, simhash.simhash_groups(turned, detail=True)).collect())) == got

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import cut, fold, per_text
+from voltaic.llm.common import chunks, cut, fold, per_text
 
 #: Columns of the statistics vector, in order.
 STATISTICS = [
@@ -185,12 +185,16 @@ def score_statistics(stats: DataFrame, model: Model, key: str = "doc_id") -> Dat
     return stats.select(key, "stats").mapInArrow(run, f"`{key}` {key_type}, score double")
 
 
-def score_texts(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score of each text, in one pass."""
-    def run(texts):
-        return [pa.array(model.score(np.array([statistics(t) for t in texts])))]
+def text_score(text: Column, model: Model) -> Column:
+    """The score of a text column; only the text reaches Python."""
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = chunks([pa.RecordBatch.from_arrays([batch], names=["text"])])
+            own = [model.score(np.array([statistics(t) for t in p.column(0).to_pylist()])) for p in parts]
+            yield pa.array(np.concatenate(own) if own else [], pa.float64())
 
-    return per_text(docs, text, docs.columns, f"`{out}` double", run)
+    score.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(score, "double")(text.cast("string"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
@@ -208,7 +212,12 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with their columns."""
+    """The rows of ``docs`` that the classifier accepts, with their columns.
+
+    Statistics are gathered once for the fit and once beside the row that they
+    judge, which costs less than a shuffle of whole texts; all columns but the
+    text stay out of Python, whatever their names and types.
+    """
     stats = cut(document_statistics(docs, key, text))
     model = fit(stats, labels, key, label)
-    return score_texts(docs, model, text, "__score").where(F.col("__score") >= THRESHOLD).drop("__score")
+    return docs.where(text_score(F.col(f"`{text}`"), model) >= THRESHOLD)

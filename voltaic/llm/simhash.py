@@ -210,16 +210,29 @@ def keep_one(docs: DataFrame, groups: DataFrame, key: str = "doc_id", text: str
     """One document of each group: the one with the smallest key.
 
     Of rows that share that key the one with the smallest hash of the text
-    stays, and of rows that share the text too any one. A NULL key comes after
-    all others, and groups whose keys are NULL or repeated stay apart.
-    ``groups`` is ``simhash_groups`` with ``detail``; without it, groups do not
-    tell which of a repeated key's texts is whose, and are found anew.
+    stays, and of rows that share the text too the one with the smallest hash
+    of all columns (but maps). A NULL key comes after all others, and groups
+    whose keys are NULL or repeated stay apart. ``groups`` is
+    ``simhash_groups`` with ``detail``; without it, groups do not tell which of
+    a repeated key's texts is whose, and are found anew.
+
+    Slim rows decide; a text crosses one join, and a second shuffle only if
+    its row is repeated.
     """
     if "__group" not in groups.columns:
         groups = simhash_groups(docs, key, text, detail=True)
-    chosen = groups.groupBy("__group").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("__hash").alias("hash"))).alias("c"))
-    chosen = chosen.select(F.col("c.key").alias("__key"), F.col("c.hash").alias("__of"))
-    hashed = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
-    kept = hashed.join(chosen, hashed[key].eqNullSafe(chosen["__key"]) & (hashed["__hash"] == chosen["__of"]), "left_semi")
-    # Copies of a row combine before their shuffle.
-    return kept.dropDuplicates([key, "__hash"]).drop("__hash")
+    rows = groups.groupBy("__group", F.col(key).alias("key"), F.col("__hash").alias("hash")).agg(F.count("*").alias("copies"))
+    chosen = rows.groupBy("__group").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash", "copies")).alias("c"))
+    chosen = cut(chosen.select("c.key", "c.hash", (F.col("c.copies") > 1).alias("repeated")))
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    whole = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), quoted(key).alias("key"), F.xxhash64(quoted(text)).alias("hash"))
+
+    def kept(own: DataFrame) -> DataFrame:
+        return whole.join(own, whole["key"].eqNullSafe(own["key"]) & (whole["hash"] == own["hash"]), "left_semi")
+
+    out = kept(chosen.where("not repeated")).select("row")
+    twice = chosen.where("repeated")
+    if not twice.isEmpty():
+        order = F.xxhash64(*[F.col("row").getField(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()])
+        out = out.unionByName(kept(twice).groupBy("key", "hash").agg(F.min_by("row", order).alias("row")).select("row"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
