@@ -1,4 +1,5 @@
 import random
+import warnings
 
 import pytest
 
@@ -98,3 +99,68 @@ def test_variants_and_cut_texts():
             assert [INDEX.names[m.template] for m in INDEX.scan(cut)] == [name + " opening"]
     for name in ("GPL-2.0 header", "GPL-3.0 header", "LGPL-2.1 header", "LGPL-3.0 header", "AGPL-3.0 header", "CC0-1.0 notice"):
         assert [INDEX.names[m.template] for m in INDEX.scan(L.TEMPLATES[name])] == [name]
+
+
+LONG = L.long_texts()
+
+
+@pytest.mark.skipif(not LONG, reason="no license files on this machine")
+def test_whole_long_licenses():
+    """Every file is found whole, as itself, and its variants and parts are not reported."""
+    index = L.Index({**L.TEMPLATES, **LONG})
+    for name, own in LONG.items():
+        text = "Some words, before.\n\n" + own + "\n\nand after"
+        found = [m for m in index.scan(text) if not index.names[m.template].endswith("notice")]
+        assert [index.names[m.template] for m in found] == [name]
+        assert found[0].coverage == 1 and words(text[found[0].start : found[0].end]) == words(own)
+
+
+@pytest.mark.skipif("LGPL-3.0 text" not in LONG, reason="no license files on this machine")
+def test_edited_long_license_aligns_as_a_full_table():
+    rng = random.Random(5)
+    index = L.Index({**L.TEMPLATES, **LONG})
+    k = index.names.index("LGPL-3.0 text")
+    text = words(LONG["LGPL-3.0 text"])
+    for _ in range(len(text) // 12):
+        i = rng.randrange(len(text))
+        text[i : i + rng.choice([0, 1])] = rng.choice([[], ["noise"], ["more", "noise"]])
+    text = ["lead"] * 300 + text + ["tail"] * 200
+    (m,) = [m for m in index.scan(" ".join(text)) if m.template == k]
+    own = words(LONG["LGPL-3.0 text"])
+    assert m.matched >= len(own) - plain_edits(own, text) and m.coverage > 0.85
+    span = words(" ".join(text)[m.start : m.end])
+    assert span[0] not in ("lead", "tail") and span[-1] not in ("lead", "tail")
+
+
+def test_candidates_left_out_report_nothing(monkeypatch):
+    """Whole copies and bags of words spare alignments, and change no result."""
+    rng = random.Random(9)
+    names = [n for n in L.TEMPLATES if len(words(L.TEMPLATES[n])) > 6]
+    texts = []
+    for _ in range(30):
+        parts = []
+        for n in rng.sample(names, 4):
+            own = words(L.TEMPLATES[n])
+            for _ in range(rng.choice([0, 0, len(own) // 9])):
+                own[rng.randrange(len(own))] = rng.choice(["noise", "the", "software"])
+            parts += own[rng.choice([0, 0, 3]) :] + ["filler"] * rng.choice([0, 5, 60])
+        texts.append(" ".join(parts))
+    spared = [INDEX.scan(t) for t in texts]
+    monkeypatch.setattr(L.Index, "shared", lambda self, ids, k, d: len(self.words[k]) * 2)
+    monkeypatch.setattr(L.Index, "entries", property(lambda self: [1 << 40] * len(self.words), lambda self, v: None), raising=False)
+    plain = L.Index(L.TEMPLATES)
+    aligned = [plain.scan(t) for t in texts]
+    assert spared == aligned and sum(map(len, spared)) > 60
+
+
+def test_repeated_texts_and_absent_files(spark, tmp_path):
+    (tmp_path / "CC0-1.0").write_text("one two three four five six seven eight nine ten")
+    with warnings.catch_warnings(record=True) as said:
+        warnings.simplefilter("always")
+        assert list(L.long_texts(str(tmp_path))) == ["CC0-1.0 text"]
+    assert "GPL-3.0 text" in str(said[0].message) and "CC0-1.0" not in str(said[0].message)
+    text = "lead " + L.TEMPLATES["MIT"] + " tail"
+    docs = spark.createDataFrame([(i, text if i % 2 else text * 60) for i in range(8)], "doc_id long, text string")
+    rows = L.scan(docs).collect()
+    assert len(rows) == 4 + 4 * 60 and {r.license for r in rows} == {"MIT"}
+    assert len({(r.start, r.end) for r in rows if r.doc_id % 2}) == 1

@@ -12,7 +12,10 @@ matched, and where.
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +79,8 @@ def _gnu(kind: str, version: str, thing: str = "program", mark: str = ":") -> st
 
 
 #: Short notices, whole short licenses, their openings (without
-#: the disclaimer), and the headers of long licenses.
+#: the disclaimer), and the headers of long licenses (whose texts are read from
+#: files, see ``LONG_TEXTS``).
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -123,10 +127,44 @@ TEMPLATES = {
         + " For more information, please refer to <http://unlicense.org/>"
     ),
 }
-#: Templates with much text in common; of overlapping matches only the best fit counts.
+#: Whole long licenses, and their files in the folder of licenses that Debian
+#: and its kin install.
+LICENSE_DIR = "/usr/share/common-licenses"
+LONG_TEXTS = {
+    "Apache-2.0 text": "Apache-2.0",
+    "Artistic-1.0 text": "Artistic",
+    "CC0-1.0 text": "CC0-1.0",
+    "GFDL-1.2 text": "GFDL-1.2",
+    "GFDL-1.3 text": "GFDL-1.3",
+    "GPL-1.0 text": "GPL-1",
+    "GPL-2.0 text": "GPL-2",
+    "GPL-3.0 text": "GPL-3",
+    "LGPL-2.0 text": "LGPL-2",
+    "LGPL-2.1 text": "LGPL-2.1",
+    "LGPL-3.0 text": "LGPL-3",
+    "MPL-1.1 text": "MPL-1.1",
+    "MPL-2.0 text": "MPL-2.0",
+}
+
+
+def long_texts(folder: str = LICENSE_DIR) -> dict[str, str]:
+    """Texts of ``LONG_TEXTS`` that ``folder`` on the driver's machine holds; a
+    warning names the others, which are then not searched."""
+    files = {name: Path(folder, file) for name, file in LONG_TEXTS.items()}
+    absent = [name for name, file in files.items() if not file.is_file()]
+    if absent:
+        warnings.warn(f"licenses not searched, absent from {folder}: {', '.join(absent)}")
+    return {name: file.read_text("utf-8", "replace") for name, file in files.items() if name not in absent}
+
+
+#: Templates with much text in common, or that hold one another; of
+#: overlapping matches only the best fit counts.
 FAMILIES = {
+    **{n: "Apache" for n in ("Apache-2.0 text", "Apache-2.0 header")},
     **{n: "BSD" for n in TEMPLATES if n.startswith("BSD")},
     **{n: "GNU" for n in TEMPLATES if n.endswith("GPL-3.0 header") or n in ("GPL-2.0 header", "LGPL-2.1 header")},
+    **{n: "GNU" for n in LONG_TEXTS if n.startswith(("GFDL", "GPL", "LGPL"))},
+    **{n: "MPL" for n in ("MPL-1.1 text", "MPL-2.0 text", "MPL-2.0 header")},
     **{n: "ISC" for n in ("ISC", "ISC opening")},
     **{n: "MIT" for n in ("MIT", "MIT opening", "Unlicense")},
 }
@@ -138,8 +176,10 @@ MIN_COVERAGE = 0.7
 #: Words of text that are hashed at one time; pieces overlap by twice the
 #: longest template, so no match is cut.
 PIECE = 1 << 18
+#: Texts whose matches a task remembers for copies of them, and their length.
+REMEMBERED = 256
+REMEMBERED_CHARS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
-ONE = 1 << 32
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -165,6 +205,8 @@ class Index:
         self.longest = max(map(len, self.words), default=0)
         found = [(h, k, at) for k, ids in enumerate(self.words) for h, at in zip(*self.fingerprints(ids))]
         found.sort()
+        self.entries = np.bincount([k for _, k, _ in found], minlength=len(self.words))
+        self.bags = [np.bincount(ids, minlength=len(self.vocabulary) + 1) for ids in self.words]
         self.keys = np.array([h for h, _, _ in found], np.uint64)
         self.template = np.array([k for _, k, _ in found], np.int64)
         self.at = np.array([at for _, _, at in found], np.int64)
@@ -188,17 +230,72 @@ class Index:
         at = np.flatnonzero(chosen)
         return h[at], at
 
-    def candidates(self, ids: np.ndarray) -> list[tuple[int, int]]:
-        """(template, diagonal) pairs; close diagonals of a template are one."""
+    def least(self, template: int) -> float:
+        """Matched words that a reported match has at least."""
+        return self.min_coverage * len(self.words[template])
+
+    def diagonals(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (template, diagonal) of shared fingerprints, and how many.
+
+        A template that needs more words than the text has known ones is left out.
+        """
         h, at = self.fingerprints(ids)
         low, high = np.searchsorted(self.keys, h), np.searchsorted(self.keys, h, "right")
-        some = np.flatnonzero(high > low)
-        pairs = {(int(self.template[p]), int(at[i] - self.at[p])) for i in some for p in range(low[i], high[i])}
-        out = []
-        for k, d in sorted(pairs):
-            if not out or out[-1][0] != k or d - out[-1][1] > self.slack(k) // 2:
-                out.append((k, d))
-        return out
+        times = high - low
+        entry = np.arange(times.sum()) + np.repeat(low - np.cumsum(times) + times, times)
+        known = np.count_nonzero(ids)
+        fits = np.array([known >= self.least(k) for k in range(len(self.words))], bool)[self.template[entry]]
+        entry, at = entry[fits], np.repeat(at, times)[fits]
+        return np.unique(np.stack([self.template[entry], at - self.at[entry]], 1), axis=0, return_counts=True)
+
+    def matches(self, ids: np.ndarray) -> set[tuple[int, int, int, int]]:
+        """(template, first word, end word, matched words) of copies and alignments.
+
+        Copies of whole templates need no alignment. Close diagonals of a
+        template are one candidate. A candidate is left out only if no match
+        of it can be reported: its band shares too few words with the
+        template, in whatever order, or does so outside of copies of its
+        family that fit better than any match of it.
+        """
+        pairs, votes = self.diagonals(ids)
+        whole, merged = [], []
+        for (k, d), n in zip(pairs.tolist(), votes.tolist()):
+            m = len(self.words[k])
+            if d >= 0 and 2 * n >= self.entries[k] and np.array_equal(ids[d : d + m], self.words[k]):
+                whole.append((k, d, d + m, m))
+            if not merged or merged[-1][0] != k or d - merged[-1][1] > self.slack(k) // 2:
+                merged.append((k, d))
+        found = set(whole)
+        for k, d in merged:
+            most = self.shared(ids, k, d)
+            if most < self.least(k):
+                continue
+            better = [y for y in whole if y[0] == k or self.family(y[0]) == self.family(k) and y[3] > most]
+            if better:
+                rest = ids.copy()
+                for _, a, b, _ in better:
+                    rest[a:b] = 0
+                if self.shared(rest, k, d) < self.least(k):
+                    continue
+            first, last, matched = self.align(ids, k, d)
+            if matched >= self.least(k):
+                found.add((k, first, last, matched))
+        return found
+
+    def family(self, template: int) -> str:
+        return FAMILIES.get(self.names[template], self.names[template])
+
+    def reach(self, template: int, diagonal: int) -> tuple[int, int]:
+        """First and end word of the text that a candidate's band touches."""
+        low = diagonal - self.slack(template)
+        return max(0, low), low + len(self.words[template]) + 2 * self.slack(template) + 1
+
+    def shared(self, ids: np.ndarray, template: int, diagonal: int) -> int:
+        """Words of the template in the band's stretch of text, repeats
+        counted: no alignment there matches more."""
+        a, b = self.reach(template, diagonal)
+        bag = np.bincount(ids[a : max(a, b)], minlength=len(self.vocabulary) + 1)
+        return int(np.minimum(bag, self.bags[template])[1:].sum())
 
     def slack(self, template: int) -> int:
         """Diagonals to either side of a candidate's that the band covers."""
@@ -212,28 +309,29 @@ class Index:
         """
         own, slack = self.words[template], self.slack(template)
         width, low = 2 * slack + 1, diagonal - slack
-        ramp = np.arange(width) * ONE
-        table = np.zeros((len(own) + 1, width), np.int64)
-        text = np.full(len(own) + width, -1, np.int64)
-        a, b = max(0, low), min(len(ids), low + len(text))
+        # Edits less the place in the band, so that a skipped text word costs nothing here.
+        table = np.empty((len(own) + 1, width), np.int32)
+        table[0] = -np.arange(width)
+        text = np.full(len(own) + width, -1, np.int32)
+        a, b = self.reach(template, diagonal)
+        b = min(len(ids), b)
         if a < b:
             text[a - low : b - low] = ids[a:b]
-        same = text[np.arange(len(own))[:, None] + np.arange(width)] == own[:, None]
         for i in range(1, len(own) + 1):
-            best = table[i - 1] + ~same[i - 1] * ONE
-            best[:-1] = np.minimum(best[:-1], table[i - 1][1:] + ONE)
-            table[i] = np.minimum.accumulate(best - ramp) + ramp
-        i, j = len(own), int(table[-1].argmin())
+            best = table[i - 1] + (text[i - 1 : i - 1 + width] != own[i - 1])
+            np.minimum(best[:-1], table[i - 1][1:] + 2, out=best[:-1])
+            np.minimum.accumulate(best, out=table[i])
+        i, j = len(own), int((table[-1] - table[0]).argmin())
         end, matched, first, last = low + i + j, 0, None, None
         while i:
-            here = table[i, j]
-            if here == table[i - 1, j] + (0 if same[i - 1, j] else ONE):
-                if same[i - 1, j]:
+            here, same = table[i, j], text[i - 1 + j] == own[i - 1]
+            if here == table[i - 1, j] + (not same):
+                if same:
                     matched += 1
                     first = low + i - 1 + j
                     last = first if last is None else last
                 i -= 1
-            elif j + 1 < width and here == table[i - 1, j + 1] + ONE:
+            elif j + 1 < width and here == table[i - 1, j + 1] + 2:
                 i, j = i - 1, j + 1
             else:
                 j -= 1
@@ -243,9 +341,10 @@ class Index:
         """Matches in a whole text, in order; spans are code points of the text.
 
         Of overlapping matches of one template the best stays: most words
-        matched, then first. A match goes if another of its family overlaps it
-        and fits better: matched words, less the unmatched words of template
-        or span, whichever are more. Equal fits all stay.
+        matched, then shortest, then first. A match goes if one of its family
+        that stays overlaps it and fits better: matched words, less the
+        unmatched words of template or span, whichever are more. Equal fits
+        all stay.
         """
         text = text or ""
         get = self.vocabulary.get
@@ -258,17 +357,16 @@ class Index:
         for start in range(0, len(ids), PIECE):
             begin = max(0, start - lap)
             part = ids[begin : start + PIECE]
-            for k, d in self.candidates(part):
-                first, last, matched = self.align(part, k, d)
-                if matched >= self.min_coverage * len(self.words[k]):
-                    found.add((k, first + begin, last + begin, matched))
-        kept: list[tuple[int, int, int, int]] = []
-        for k, a, b, n in sorted(found, key=lambda x: (x[0], -x[3], x[1], x[2])):
-            if not any(k == k2 and a < b2 and a2 < b for k2, a2, b2, _ in kept):
-                kept.append((k, a, b, n))
-        family = lambda k: FAMILIES.get(self.names[k], self.names[k])
+            found |= {(k, a + begin, b + begin, n) for k, a, b, n in self.matches(part)}
+        best: list[tuple[int, int, int, int]] = []
+        for k, a, b, n in sorted(found, key=lambda x: (x[0], -x[3], x[2] - x[1], x[1])):
+            if not any(k == k2 and a < b2 and a2 < b for k2, a2, b2, _ in best):
+                best.append((k, a, b, n))
         fit = lambda k, a, b, n: 2 * n - max(len(self.words[k]), b - a)
-        kept = [x for x in kept if not any(family(x[0]) == family(y[0]) and x[1] < y[2] and y[1] < x[2] and fit(*x) < fit(*y) for y in kept)]
+        kept: list[tuple[int, int, int, int]] = []
+        for x in sorted(best, key=lambda x: -fit(*x)):
+            if not any(self.family(x[0]) == self.family(y[0]) and x[1] < y[2] and y[1] < x[2] and fit(*x) < fit(*y) for y in kept):
+                kept.append(x)
         if not kept:
             return []
         wanted = {x for _, a, b, _ in kept for x in (a, b - 1)}
@@ -284,14 +382,16 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     ``coverage`` (share of the template's words, ``min_coverage`` at least).
     NULL and empty texts match nothing; repeated rows each report; an empty
     table gives an empty result; other columns are ignored. Templates are
-    given in code, a few kB, and travel with the task.
+    those in code and ``long_texts()`` unless given; their index, about 1 MB,
+    travels with the task.
     """
-    index = Index(TEMPLATES if templates is None else templates, min_coverage=min_coverage)
+    index = Index({**TEMPLATES, **long_texts()} if templates is None else templates, min_coverage=min_coverage)
     source = docs.select(key, docs[text].cast("string").alias("__text"))
 
     def run(batches):
+        again = lru_cache(REMEMBERED)(index.scan)
         for part in chunks(batches, "__text"):
-            hits = [(i, m) for i, t in enumerate(part.column(1).to_pylist()) for m in index.scan(t)]
+            hits = [(i, m) for i, t in enumerate(part.column(1).to_pylist()) for m in (again(t) if len(t or "") <= REMEMBERED_CHARS else index.scan(t))]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(pa.array([i for i, _ in hits], pa.int64())),
