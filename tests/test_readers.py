@@ -90,6 +90,7 @@ INTERTIE = """<?xml version="1.0"?>
   <Actual><Hour>1</Hour><Flow>6</Flow></Actual>
   <Actual><Hour>1</Hour><Flow>7</Flow></Actual>
   <Actual><Hour>3</Hour><Flow>9</Flow></Actual>
+  <Actual><Hour>2</Hour><Flow>4</Flow></Actual>
   <Actual><Hour>2</Hour><Flow></Flow></Actual>
  </Actuals>
 </IntertieZone>
@@ -103,7 +104,7 @@ def test_intertie_xml_last_actual_wins(spark, tmp_path):
     assert set(rows) == {1, 2}                      # actual without schedule dropped
     assert rows[1].schedule_export_mw == 0.0        # empty export is 0
     assert rows[1].actual_flow_mw == 7.0            # last of three actuals
-    assert rows[2].actual_flow_mw is None           # empty flow still wins
+    assert rows[2].actual_flow_mw is None           # empty flow after 4 still wins
     flow = S.intertie(R.read_intertie_xml(spark, p)).orderBy("hour").collect()
     assert [f.flow_direction for f in flow] == ["Import", "Export"]
 

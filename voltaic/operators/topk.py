@@ -37,9 +37,9 @@ def last_n_ascending(df: DataFrame, n: int, keys: Sequence[str] = ("date",),
     return latest(df, n, keys, series).orderBy(*series, *keys)
 
 
-def preview(df: DataFrame, n: int) -> DataFrame:
-    """First ``n`` rows in key order (a named order makes it repeatable)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int, keys: Sequence[str] = ("date", "hour")) -> DataFrame:
+    """First ``n`` rows in key order, so that every run shows the same ones."""
+    return top_n(df, n, [F.col(k) for k in keys])
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 7, keys: Sequence[str] = ("date", "hour")) -> DataFrame:

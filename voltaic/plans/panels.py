@@ -143,7 +143,7 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def explorer_preview(table: DataFrame, n: int = config.PREVIEW_ROWS,
                      order: tuple[str, ...] = config.KEYS) -> DataFrame:
     """First ``n`` rows of a table in key order."""
-    return preview(table.orderBy(*order), n)
+    return preview(table, n, order)
 
 
 def run_sql(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str) -> DataFrame:
