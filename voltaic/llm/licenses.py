@@ -382,7 +382,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     ``coverage`` (share of the template's words, ``min_coverage`` at least).
     NULL and empty texts match nothing; repeated rows each report; an empty
     table gives an empty result; other columns are ignored. Templates are
-    those in code and ``long_texts()`` unless given; their index, about 1 MB,
+    those in code and ``long_texts()`` unless given; their index, about 2 MB,
     travels with the task.
     """
     index = Index({**TEMPLATES, **long_texts()} if templates is None else templates, min_coverage=min_coverage)
