@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from .. import oracle as O
-from ..functions import row_sum
+from ..functions import round_half_up, row_sum
 from ..operators.dedupe import keep_last
+from ..operators.windows import with_rolling
 from ..sources import bindings as B
 from . import gold as G
 from . import silver as S
@@ -411,6 +412,26 @@ def renewable_penetration(spark, sf_dir):
     return serving.renewable_penetration(snapshot(spark, sf_dir))
 
 
+@register("rolling_load_by_series", f"""
+SELECT series, date, load_mw,
+       {O.R('avg(load_mw) OVER (PARTITION BY series ORDER BY dn RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)', 4)} AS load_7d_avg,
+       {O.R('avg(load_mw) OVER (PARTITION BY series ORDER BY dn RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)', 4)} AS load_30d_avg
+FROM (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date,
+             date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS dn,
+             CAST(sum(CAST(floor(o_totalprice / 1000) AS BIGINT)) AS BIGINT) AS load_mw
+      FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL)""")
+def rolling_load_by_series(spark, sf_dir):
+    """W1, W2 over several years and series, so that frames cross the edges
+    of the calendar buckets (the snapshot's days all lie in one)."""
+    load = F.sum(F.floor(F.col("o_totalprice") / 1000).cast("long"))
+    daily = (B.table(spark, sf_dir, "orders").filter(F.col("o_orderdate").isNotNull())
+             .groupBy(F.col("o_orderpriority").alias("series"), F.col("o_orderdate").cast("date").alias("date"))
+             .agg(load.alias("load_mw")))
+    rolled = with_rolling(daily, "load_mw", {"_r7": 7, "_r30": 30}, series=["series"])
+    return rolled.select("series", "date", "load_mw", round_half_up(F.col("_r7"), 4).alias("load_7d_avg"),
+                         round_half_up(F.col("_r30"), 4).alias("load_30d_avg"))
+
+
 # --- step 7: panels ---------------------------------------------------------------------------
 
 @register("latest_status", """
