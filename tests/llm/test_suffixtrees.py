@@ -63,6 +63,51 @@ def test_production_window_with_near_copies(spark):
         assert sorted(map(tuple, got.collect()), key=repr) == plain(rows, 50)
 
 
+def test_split_groups_send_back_earlier_windows_only(spark, monkeypatch):
+    """Near copies in groups that are all split: rows follow the size of a group."""
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+
+    def copies(n):
+        rows = []
+        for i in range(n):
+            words = list(base)
+            words[r.randrange(60)] = f"c{i}"
+            rows.append((i, " ".join(words)))
+        return [*rows, (n, rows[0][1]), (None, rows[1][1]), (7, " ".join(base))]
+
+    def needed(rows):
+        """Distinct fragments, and their windows with an earlier fragment."""
+        found = suffixtrees.fragments_of([t for _, t in rows], 10, 3)
+        own, first = {}, {}
+        for row, h, f, lo, hi in zip(*(found[c].tolist() for c in ("row", "h", "f", "lo", "hi"))):
+            k = suffixtrees.NO_KEY if rows[row][0] is None else rows[row][0]
+            body = tuple(rows[row][1].split()[lo : hi + 10])
+            own[h, f] = min(k, own.get((h, f), (k,))[0]), body
+        windows = [(k, body[a : a + 10]) for k, body in own.values() for a in range(len(body) - 9)]
+        for k, w in windows:
+            first[w] = min(first.get(w, k), k)
+        return len(own) + sum(first[w] < k for k, w in windows), len(windows)
+
+    made = []
+    cut = suffixtrees.cut
+
+    def counted(df):
+        out = cut(df)
+        if "runs" in out.columns:
+            made.append(out.selectExpr("sum(size(runs))").first()[0])
+        return out
+
+    monkeypatch.setattr(suffixtrees, "cut", counted)
+    for n in (80, 160):
+        rows = copies(n)
+        got = suffixtrees.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), window=10, seed=3, group=1)
+        assert sorted(map(tuple, got.collect()), key=repr) == plain(rows, 10)
+        most, windows = needed(rows)
+        assert made[-1] <= most < windows
+    assert made[1] < 3 * made[0]
+
+
 def test_empty_table_and_clashing_names(spark):
     assert suffixtrees.drop_repeats(spark.createDataFrame([], "doc_id int, text string")).collect() == []
     names = "doc_id long, text string, k string, t string, spans string, first int, `x.y` int, h int, g int, __text string, s struct<`a b`: int>"

@@ -19,7 +19,9 @@ has a subtree of its own:
   ``window`` words lie below one deep internal node. Its least document is
   the first one that has the repeat.
 * A group with more than ``group`` distinct fragments is split by longer
-  prefixes, the whole window, so no group is larger than memory.
+  prefixes, the whole window, so no group is larger than memory. Its rows are
+  at most the windows of its fragments; those come back that another fragment
+  has from an earlier document.
 
 A document keeps the words that no repeat of an earlier document covers.
 """
@@ -306,14 +308,19 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     dealt = bodies.where("not heavy").select("g", "h", "f", "first", "body").repartition("g").sortWithinPartitions("g")
     runs = dealt.mapInArrow(lambda batches: _subtrees(batches, window), "h long, f long, a int, b int, first long")
     # The prefix is the whole window here, so a group is one node and its
-    # least key an aggregate; no group meets in one task.
+    # least key an aggregate; no group meets in one task. The fragment's own
+    # key holds for all of it (``b`` NULL: to its last window), so only windows
+    # that a fragment with a smaller key has too are joined back.
     split = scratch.table(bodies.where("heavy").select("h", "f", "first", "body").mapInArrow(lambda batches: _by_window(batches, window), "g long, g2 long, h long, f long, at int, first long"))
-    least = cut(split.groupBy("g", "g2").agg(F.min("first").alias("first")))
-    split = split.drop("first").join(least, ["g", "g2"]).select("h", "f", F.col("at").alias("a"), F.col("at").alias("b"), "first")
-    runs = cut(runs.unionByName(split).groupBy("h", "f").agg(F.collect_list(F.struct("a", "b", "first")).alias("runs")))
-    found = branching.select("k", "t", "h", "f", "lo").join(runs, ["h", "f"])
-    found = found.select("k", "t", "lo", F.inline("runs")).where("first < k")
-    found = found.select("k", "t", F.struct((F.col("lo") + F.col("a")).alias("lo"), (F.col("lo") + F.col("b") + window).alias("end")).alias("span"))
+    least = split.groupBy("g", "g2").agg(F.min("first").alias("least"), F.max("first").alias("last"))
+    least = cut(least.where("least < last").drop("last"))
+    split = split.join(least, ["g", "g2"]).where("least < first").select("h", "f", F.col("at").alias("a"), F.col("at").alias("b"), F.col("least").alias("first"))
+    whole = bodies.where("heavy").select("h", "f", F.lit(0).alias("a"), F.lit(None).cast("int").alias("b"), "first")
+    runs = cut(runs.unionByName(split).unionByName(whole).groupBy("h", "f").agg(F.collect_list(F.struct("a", "b", "first")).alias("runs")))
+    found = branching.select("k", "t", "h", "f", "lo", "hi").join(runs, ["h", "f"])
+    found = found.select("k", "t", "lo", "hi", F.inline("runs")).where("first < k")
+    last = F.coalesce(F.col("lo") + F.col("b"), F.col("hi"))
+    found = found.select("k", "t", F.struct((F.col("lo") + F.col("a")).alias("lo"), (last + window).alias("end")).alias("span"))
     spans = cut(alike.unionByName(found).groupBy("k", "t").agg(F.collect_set("span").alias("spans")))
     scratch.remove()
     return spans
