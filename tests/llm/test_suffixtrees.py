@@ -108,6 +108,52 @@ def test_split_groups_send_back_earlier_windows_only(spark, monkeypatch):
     assert made[1] < 3 * made[0]
 
 
+def test_split_groups_share_pieces(spark, monkeypatch):
+    """Near copies in groups that are all split: no row for each window of each fragment."""
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(200):
+        words = list(base)
+        words[r.randrange(120)] = f"c{i}"
+        rows.append((r.randrange(1000), " ".join(words)))
+    rows += [(None, rows[0][1]), (2000, rows[1][1]), (2001, " ".join(base)), (-3, " ".join(base[7:101]))]
+    made = []
+    table = suffixtrees.Scratch.table
+
+    def counted(self, df):
+        out = table(self, df)
+        if "at" in out.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffixtrees.Scratch, "table", counted)
+    got = suffixtrees.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), group=1)
+    assert sorted(map(tuple, got.collect()), key=repr) == plain(rows, 50)
+    found = suffixtrees.fragments_of([t for _, t in rows], 50, 8)
+    own = {(h, f): hi - lo + 1 for h, f, lo, hi in zip(*(found[c].tolist() for c in ("h", "f", "lo", "hi")))}
+    assert max(made) < sum(own.values()) / 3
+
+
+@pytest.mark.parametrize("window, seed", [(50, 8), (6, 2), (9, 8), (5, 1)])
+def test_pieces_meet_where_windows_do(window, seed):
+    r = random.Random(window)
+    texts = [" ".join(r.choice(["a", "b", "ç", "漢字"]) for _ in range(r.randrange(window, 4 * window))) for _ in range(12)]
+    texts += [t.replace("b", "x" * 9, 1) for t in texts] + [" ".join(["a"] * 3 * window)]
+    found = suffixtrees.fragments_of(texts, window, seed)
+    bodies = [texts[row].encode()[b:e].decode() for row, b, e in zip(found["row"], found["b"], found["e"])]
+    cut = suffixtrees.pieces_of(bodies, found["h"].view(np.uint64), window, seed)
+    core, words, seen = {}, {}, []
+    for row, g, p, at, n in zip(*(cut[c].tolist() for c in ("row", "g", "p", "at", "n"))):
+        body = bodies[row].split()
+        for i in range(at, at + n):
+            core.setdefault(tuple(body[i : i + window]), set()).add(g)
+            seen.append((row, i))
+        words.setdefault((g, p), set()).add(tuple(body[at : at + n + window - 1]))
+    assert all(len(x) == 1 for x in [*core.values(), *words.values()])
+    assert sorted(seen) == [(row, i) for row, b in enumerate(bodies) for i in range(len(b.split()) - window + 1)]
+
+
 def test_empty_table_and_clashing_names(spark):
     assert suffixtrees.drop_repeats(spark.createDataFrame([], "doc_id int, text string")).collect() == []
     names = "doc_id long, text string, k string, t string, spans string, first int, `x.y` int, h int, g int, __text string, s struct<`a b`: int>"

@@ -19,15 +19,19 @@ has a subtree of its own:
   ``window`` words lie below one deep internal node. Its least document is
   the first one that has the repeat.
 * A group with more than ``group`` distinct fragments is split by longer
-  prefixes, the whole window, so no group is larger than memory. Its rows are
-  at most the windows of its fragments; those come back that another fragment
-  has from an earlier document.
+  prefixes in two steps, so no group is larger than memory. First, a fragment
+  is cut into pieces of a few neighbouring windows (7 of 43), and a piece is
+  dealt by its core, the words that all these windows share: near copies have
+  most pieces in common. Second, the distinct pieces of a core, if they differ
+  and come from several documents, are split by the whole window. What comes
+  back is what another piece or window has from an earlier document.
 
 A document keeps the words that no repeat of an earlier document covers.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +46,8 @@ from voltaic.llm.common import Scratch, chunks, cut
 WINDOW = 50
 SEED_WORDS = 8
 GROUP = 512
+#: Slices in which the fragments with one piece meet what was found for it.
+SLICES = 64
 #: Bytes of text, window starts, and words of groups handled at one time.
 PIECE_BYTES = 1 << 20
 BLOCK = 1 << 16
@@ -105,6 +111,14 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(map(np.concatenate, (hashes, starts, ends)))
 
 
+def _grams(words: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of the ``seed`` words from each word on."""
+    gram = np.zeros(len(words) - seed + 1, np.uint64)
+    for j in range(seed):
+        gram = gram * _ODD + words[j : len(words) - seed + 1 + j]
+    return _mix(gram)
+
+
 def anchors(words: np.ndarray, valid: np.ndarray, window: int, seed: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Fragments of a sequence of word hashes, a block of window starts at a time.
 
@@ -119,10 +133,7 @@ def anchors(words: np.ndarray, valid: np.ndarray, window: int, seed: int) -> Ite
         good = np.flatnonzero(valid[base : base + n])
         if not len(good):
             continue
-        gram = np.zeros(len(own) - seed + 1, np.uint64)
-        for j in range(seed):
-            gram = gram * _ODD + own[j : len(own) - seed + 1 + j]
-        gram = _mix(gram)
+        gram = _grams(own, seed)
         # The least hash in each window of grams; the place breaks ties.
         least, width = gram & ~np.uint64(0xFFFFFF) | np.arange(len(gram), dtype=np.uint64), 1
         while 2 * width <= span:
@@ -157,6 +168,37 @@ def fragments_of(texts: list, window: int, seed: int) -> dict[str, np.ndarray]:
             "b": starts[low] - opens[own], "e": ends[high + window - 1] - opens[own]}
 
 
+def pieces_of(bodies: list[str], h: np.ndarray, window: int, seed: int) -> dict[str, np.ndarray]:
+    """Cut fragments into pieces: row number, hashes of core and words, first
+    window and number of windows.
+
+    ``h`` is the hash of each fragment's anchor. How far a window starts before
+    its anchor depends on its words alone, and so does the piece that it is in:
+    the windows that start ``low`` to ``high`` words before the anchor. All of
+    them have the words of the core, from the anchor less ``low`` on.
+    """
+    span = window - seed + 1
+    step = math.isqrt(span - 1) + 1
+    low = np.arange(0, span, step)
+    high = np.minimum(low + step, span) - 1
+    raws = [b.encode() for b in bodies]
+    words, starts, _ = word_hashes(b"\n".join(raws))
+    edge = np.searchsorted(starts, np.cumsum([0, *[len(r) + 1 for r in raws]]))
+    row = np.repeat(np.arange(len(raws)), np.diff(edge))
+    gram = _grams(words, seed)
+    hit = np.flatnonzero(gram == h[row[: len(gram)]])
+    anchor = (hit[np.unique(row[hit], return_index=True)[1]] - edge[:-1])[:, None]
+    first = np.maximum(anchor - high, 0)
+    last = np.minimum(anchor - low, np.diff(edge)[:, None] - window)
+    i, j = np.nonzero(first <= last)
+    first, last, anchor = first[i, j], last[i, j], anchor[i, 0]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _POWER[np.arange(len(words)) - edge[row]], dtype=np.uint64)])
+    spelled = lambda a, b: (sums[edge[i] + b] - sums[edge[i] + a]) * _INVERSE[a]
+    core = _mix(spelled(anchor - low[j], anchor - high[j] + window) + j.astype(np.uint64))
+    whole = _mix(spelled(first, last + window) + (last - first).astype(np.uint64))
+    return {"row": i, "g": core.view(np.int64), "p": whole.view(np.int64), "at": first, "n": last - first + 1}
+
+
 def deep_nodes(codes: np.ndarray, starts: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
     """The node at ``depth`` words above each suffix, in the order of the suffixes.
 
@@ -230,20 +272,29 @@ def _subtrees(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
         yield build(pa.concat_tables(held))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of fragments, each named by its core and its words."""
+    for part in chunks(batches, "body"):
+        column = lambda name: part.column(part.schema.get_field_index(name))
+        found = pieces_of(column("body").to_pylist(), column("h").to_numpy().view(np.uint64), window, seed)
+        row = pa.array(found["row"])
+        yield pa.RecordBatch.from_arrays([pa.array(found["g"]), pa.array(found["p"]), column("h").take(row), column("f").take(row), pa.array(found["at"].astype(np.int32)), pa.array(found["n"].astype(np.int32)), column("first").take(row)], names=["g", "p", "h", "f", "at", "n", "first"])
+
+
 def _by_window(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The single windows of fragments, named by two hashes of their words."""
+    """The single windows of pieces, named by two hashes of their words."""
     import xxhash
 
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     for batch in chunks(batches, "body"):
         rows = []
-        for h, f, first, body in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("h", "f", "first", "body")]):
+        for g, p, first, at, n, body in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("g", "p", "first", "at", "n", "body")]):
             words = body.encode().split()
-            for at in range(len(words) - window + 1):
-                one = b" ".join(words[at : at + window])
-                rows.append((xxhash.xxh64_intdigest(one) - 2**63, xxhash.xxh64_intdigest(one, 1) - 2**63, h, f, at, first))
+            for i in range(n):
+                one = b" ".join(words[at + i : at + i + window])
+                rows.append((xxhash.xxh64_intdigest(one) - 2**63, xxhash.xxh64_intdigest(one, 1) - 2**63, g, p, i, first))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["g", "g2", "h", "f", "at", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["w", "w2", "g", "p", "at", "first"])
 
 
 def keep_words(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
@@ -267,6 +318,35 @@ def keep_words(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]
     return total, removed, b" ".join(kept).decode()
 
 
+def _split(bodies: DataFrame, scratch: Scratch, window: int, seed: int) -> DataFrame:
+    """Windows ``a`` to ``b`` of fragments of split groups that a fragment with
+    the smaller key ``first`` has too.
+
+    A piece's own least key holds for all of it, so of the windows of distinct
+    pieces only those come back that a piece with a smaller key has too. Each
+    node is an aggregate, and no group meets in one task.
+    """
+    parts = scratch.table(bodies.mapInArrow(lambda batches: _pieces(batches, window, seed), "g long, p long, h long, f long, at int, n int, first long"))
+    parts = parts.withColumn("slice", F.pmod("f", F.lit(SLICES)))
+    place = F.min(F.struct("first", "h", "f", "at", "n"))
+    distinct = scratch.table(parts.groupBy("g", "p").agg(place.alias("place"), F.max("first").alias("last"), F.collect_set("slice").alias("slices")).select("g", "p", "place.*", "last", "slices"))
+    # Cores of several documents whose pieces differ.
+    cores = distinct.groupBy("g").agg(F.min("first").alias("least"), F.max("last").alias("last"), F.count("p").alias("pieces"))
+    cores = cut(cores.where("least < last and pieces > 1").select("g"))
+    texts = distinct.join(cores, "g").drop("last", "slices").join(bodies.select("h", "f", "body"), ["h", "f"]).select("g", "p", "first", "at", "n", "body")
+    windows = scratch.table(texts.mapInArrow(lambda batches: _by_window(batches, window), "w long, w2 long, g long, p long, at int, first long"))
+    least = windows.groupBy("w", "w2").agg(F.min("first").alias("least"), F.max("first").alias("last"))
+    least = cut(least.where("least < last").drop("last"))
+    single = windows.join(least, ["w", "w2"]).where("least < first").select("g", "p", F.struct(F.col("at").alias("a"), F.col("at").alias("b"), F.col("least").alias("first")).alias("run"))
+    whole = distinct.where("first < last").select("g", "p", F.struct(F.lit(0).alias("a"), (F.col("n") - 1).alias("b"), "first").alias("run"))
+    found = single.unionByName(whole).groupBy("g", "p").agg(F.collect_list("run").alias("found"))
+    # A piece of very many fragments meets them in several tasks.
+    found = found.join(distinct.select("g", "p", "slices"), ["g", "p"]).select("g", "p", "found", F.explode("slices").alias("slice"))
+    back = parts.select("g", "p", "slice", "h", "f", "at", F.col("first").alias("own")).join(found, ["g", "p", "slice"])
+    back = back.select("h", "f", "at", "own", F.inline("found")).where("first < own")
+    return back.select("h", "f", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b")).alias("b"), "first")
+
+
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, seed: int = SEED_WORDS, group: int = GROUP) -> DataFrame:
     """Repeats of earlier documents: ``k``, ``t`` and ``spans``.
 
@@ -307,14 +387,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     bodies = scratch.table(bodies)
     dealt = bodies.where("not heavy").select("g", "h", "f", "first", "body").repartition("g").sortWithinPartitions("g")
     runs = dealt.mapInArrow(lambda batches: _subtrees(batches, window), "h long, f long, a int, b int, first long")
-    # The prefix is the whole window here, so a group is one node and its
-    # least key an aggregate; no group meets in one task. The fragment's own
-    # key holds for all of it (``b`` NULL: to its last window), so only windows
-    # that a fragment with a smaller key has too are joined back.
-    split = scratch.table(bodies.where("heavy").select("h", "f", "first", "body").mapInArrow(lambda batches: _by_window(batches, window), "g long, g2 long, h long, f long, at int, first long"))
-    least = split.groupBy("g", "g2").agg(F.min("first").alias("least"), F.max("first").alias("last"))
-    least = cut(least.where("least < last").drop("last"))
-    split = split.join(least, ["g", "g2"]).where("least < first").select("h", "f", F.col("at").alias("a"), F.col("at").alias("b"), F.col("least").alias("first"))
+    split = _split(bodies.where("heavy").select("h", "f", "first", "body"), scratch, window, seed)
+    # The fragment's own key holds for all of it: ``b`` NULL is its last window.
     whole = bodies.where("heavy").select("h", "f", F.lit(0).alias("a"), F.lit(None).cast("int").alias("b"), "first")
     runs = cut(runs.unionByName(split).unionByName(whole).groupBy("h", "f").agg(F.collect_list(F.struct("a", "b", "first")).alias("runs")))
     found = branching.select("k", "t", "h", "f", "lo", "hi").join(runs, ["h", "f"])
