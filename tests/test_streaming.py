@@ -82,6 +82,40 @@ def test_hourly_stream_emits_closed_hours_only(spark):
         assert out[h].intervals == expect[h].intervals
 
 
+def test_files_that_landed_at_one_time_go_by_name(spark):
+    folder = tempfile.mkdtemp(prefix="voltaic-k1t-")
+    names = [write(f"{folder}/in/rt_{i:02d}.csv", "") for i in range(16)]
+    listed = [f"{folder}/in/{f}" for f in os.listdir(f"{folder}/in")]
+    late = max(names, key=lambda f: names.index(f) - listed.index(f))       # listed before files of earlier names
+    for i, f in enumerate(names[: names.index(late)]):
+        write(f, HEAD + f"13,{i + 1},100,2,98\n" if i < 12 else HEAD)
+    for f in names[names.index(late) + 1 :]:
+        os.remove(f)
+    write(late, HEAD + "20,1,50,1,49\n")
+    for f in names[: names.index(late) + 1]:
+        os.utime(f, (1_900_000_000, 1_900_000_000))
+    _intake(spark, folder, max_files=1)
+    out = _follow(spark, folder, "out", lambda rows: RT.hourly_stream(RT.last_publications(rows, "1 hour"), delay=None)).collect()
+    assert [(r.hour, r.intervals) for r in out] == [(13, min(12, names.index(late)))]
+
+
+def test_intake_writes_so_many_files_at_a_time(spark):
+    folder = tempfile.mkdtemp(prefix="voltaic-k1m-")
+    order = ["e", "b", "d", "a c", "x/c%20[1]{é}"]
+    for i, name in enumerate(order):
+        f = write(f"{folder}/in/{name}.csv", HEAD + f"13,{i + 1},100,2,98\n" + "x,1,1,1,1\n")
+        os.utime(f, (1_900_000_000 + i // 2, 1_900_000_000 + i // 2))
+    _intake(spark, folder, max_files=2)
+    _intake(spark, folder, max_files=2)
+    got = {}
+    for r in spark.read.parquet(f"{folder}/rows").filter("status = 'ok'").collect():
+        got.setdefault(r.batch, []).append(r.interval)
+    assert [sorted(got[b]) for b in sorted(got)] == [[1, 2], [3, 4], [5]]
+    assert RT.rejected(spark, f"{folder}/rows").count() == 5
+    whole = {r._published_at for r in R.read_realtime_report(spark, f"{folder}/in").collect()}
+    assert {r._published_at for r in RT.accepted(spark, f"{folder}/rows").collect()} == whole
+
+
 def test_rejects_go_beside_the_good_rows(spark):
     folder = tempfile.mkdtemp(prefix="voltaic-k1r-")
     _files(folder)

@@ -11,12 +11,14 @@ state is bounded and late rows are dropped.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from .. import config
 from ..functions import pct, round_half_up
@@ -72,15 +74,17 @@ def market_hour(ts: Column) -> tuple[Column, Column]:
             (F.floor(F.pmod(seconds, F.lit(86400)) / 3600) + 1).cast("int"))
 
 
-def _parsed_stream(spark: SparkSession, folder: str, max_files: int | None, series: Sequence[str]) -> DataFrame:
-    reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    text = reader.load(folder).select("value", F.col("_metadata.file_path").alias("_published_at"))
-    return parse_realtime_text(text, series=series).withColumnRenamed("_reason", "status")
+def _texts(reader: DataFrameReader | DataStreamReader, paths: str | list[str]) -> DataFrame:
+    text = reader.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(paths)
+    return text.select("value", F.col("_metadata.file_path").alias("_published_at"), F.col("_metadata.file_modification_time").alias("landed"))
+
+
+def _path(name: str) -> str:
+    """The path to load for the name that a row's metadata give a file."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(name))
 
 
-def write_batch(rows: DataFrame, batch_id: int, table: str) -> bool:
+def write_batch(rows: DataFrame, batch_id: int | str, table: str) -> bool:
     """One micro-batch of parsed rows into its own folder of ``table``, good
     rows and rejects in one write; whether it was written.  A batch that is
     replayed after it was written changes nothing; one that stopped half-way
@@ -96,9 +100,24 @@ def start_intake(spark: SparkSession, folder: str, table: str, checkpoint: str,
                  series: Sequence[str] = (), available_now: bool = True) -> StreamingQuery:
     """K1: every report file that lands in ``folder`` is read and parsed once;
     its rows go to ``table``, rejects with their reason beside the good ones.
-    ``series`` names the key columns that the reports carry (the region)."""
-    rows = _parsed_stream(spark, folder, max_files, series)
-    writer = rows.writeStream.foreachBatch(lambda df, batch: write_batch(df, batch, table)).option("checkpointLocation", checkpoint)
+    ``series`` names the key columns that the reports carry (the region).
+
+    With ``max_files`` the new files are written so many at a time, in the
+    order in which they landed, and by name if they landed at one time: the
+    file source lists those in any order, and what follows would take the
+    earlier publication for late.  Their names cost one more read of each."""
+    def land(text: DataFrame, batch: int) -> None:
+        parse = lambda df: parse_realtime_text(df.drop("landed"), series=series).withColumnRenamed("_reason", "status")
+        if not max_files:
+            write_batch(parse(text), batch, table)
+            return
+        files = text.select("landed", "_published_at").distinct().orderBy("landed", "_published_at").collect()
+        names = [f["_published_at"] for f in files]
+        for n, at in enumerate(range(0, len(names), max_files)):
+            part = _texts(text.sparkSession.read, [_path(f) for f in names[at : at + max_files]])
+            write_batch(parse(part), f"{batch}_{n:05d}", table)
+
+    writer = _texts(spark.readStream, folder).writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
